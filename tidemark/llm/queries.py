@@ -1,11 +1,13 @@
 """The registered queries of this subpackage and their SQL."""
 
-from tidemark.llm import mixing, sharding, url_filter
+from tidemark.llm import extraction, language, mixing, sharding, url_filter
 
 QUERIES = {
     "op2_sainte_lague_mix": mixing.op2_sainte_lague_mix,
+    "op3_tag_path_extract": extraction.op3_tag_path_extract,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_shard_shuffle": sharding.op5_shard_shuffle,
+    "op7_language_id": language.op7_language_id,
 }
 
 ORACLES = {
