@@ -1,8 +1,9 @@
 """The registered queries of this subpackage and their SQL."""
 
-from tidemark.llm import extraction, language, mixing, sharding, url_filter
+from tidemark.llm import extraction, language, mixing, ngram_join, sharding, url_filter
 
 QUERIES = {
+    "op1_partenum_join": ngram_join.op1_partenum_join,
     "op2_sainte_lague_mix": mixing.op2_sainte_lague_mix,
     "op3_tag_path_extract": extraction.op3_tag_path_extract,
     "op4_url_filter": url_filter.op4_url_filter,
