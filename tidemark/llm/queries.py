@@ -1,6 +1,6 @@
 """The registered queries of this subpackage and their SQL."""
 
-from tidemark.llm import extraction, language, mixing, ngram_join, sharding, url_filter
+from tidemark.llm import extraction, language, mixing, ngram_join, repeats, sharding, url_filter
 
 QUERIES = {
     "op1_partenum_join": ngram_join.op1_partenum_join,
@@ -8,7 +8,9 @@ QUERIES = {
     "op3_tag_path_extract": extraction.op3_tag_path_extract,
     "op4_url_filter": url_filter.op4_url_filter,
     "op5_shard_shuffle": sharding.op5_shard_shuffle,
+    "op6_suffix_dedup": repeats.op6_suffix_dedup,
     "op7_language_id": language.op7_language_id,
+    "op10_recompression_dedup": repeats.op10_recompression_dedup,
 }
 
 ORACLES = {
