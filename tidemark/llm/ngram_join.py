@@ -3,14 +3,16 @@
 A document's set holds its distinct word shingles. Sets of equal text collapse
 into one class first. Sizes are cut into bands; within a band a Jaccard
 threshold is a bound k on the number of differing shingles. The shingle domain
-is hashed into (k + 1) / 2 parts of three sub-parts: two sets that differ in at
-most k shingles differ in at most one in some part, so they agree on two of its
-three sub-parts. Each part's three pairs of sub-parts are the signatures, and
-sets that are similar enough share one, surely.
+is hashed into k / 2 + 1 parts, and some spare ones, of three sub-parts: two sets that
+differ in at most k shingles differ in at most one in every part but k / 2, so
+they agree on two of the three sub-parts there. Each part's three pairs of
+sub-parts are the signatures, and sets that are similar enough share one, surely.
 
 A signature over no shingle at all would be shared by strangers. It isn't used:
-a set that has one takes part in a further partition by another seed, up to the
-last partition, where such signatures count too, so no pair is lost.
+if a set has such ones in no more parts than are spare, a part without any is
+left for each of its pairs. A set that has more takes part in a further
+partition by another seed, up to the last one, where such signatures count too,
+so no pair is lost.
 
 Classes that share a signature are compared by parity sketches, whose distance
 never exceeds the true one, so a rejection is sure. What passes is verified on
@@ -44,6 +46,8 @@ from tidemark.llm.wordhash import Run, mix, word_runs
 BAND = 1.4
 #: Partitions tried by sets with empty signatures.
 SEEDS = 4
+#: One part in so many is spare.
+SPARE = 16
 #: Members of a bucket that meet in one task: two chunks.
 CHUNK = 256
 
@@ -87,7 +91,9 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
         if b > band and 100 * n < percent * _bands[b]:
             continue  # too small for any set of the next band
         k = most_differing(2 * (_bands[b + 1] - 1), percent)
-        parts, subs = (1, 1) if k == 0 else ((k + 2) // 2, 3)
+        parts, subs = (1, 1) if k == 0 else (k // 2 + 1, 3)
+        spare = parts // SPARE
+        parts += spare
         for seed in range(SEEDS):
             cell = (mix(found + np.uint64(seed * 1009 + 1)) % np.uint64(parts * subs)).astype(np.int64)
             sums = np.zeros(parts * subs, np.uint64)
@@ -99,10 +105,9 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
             label = mix(np.arange(sums.size, dtype=np.uint64) + np.uint64((b * SEEDS + seed) << 40))
             made = mix(sums.ravel() + label)
             full = held.ravel() > 0
-            if full.all() or seed == SEEDS - 1:
-                out.append(made)
+            out.append(made if seed == SEEDS - 1 else made[full])
+            if np.count_nonzero((held == 0).any(axis=1)) <= spare:
                 break
-            out.append(made[full])
     return np.concatenate(out)
 
 
