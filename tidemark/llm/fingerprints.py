@@ -6,8 +6,8 @@ of cells; a cell keeps the count, the xor of its digests and the xor of their
 checks. Two sketches subtract cell by cell, digests in both cancel, and peeling
 recovers the rest: a cell that holds one digest, as its check confirms, gives it
 up to be taken out of its other cells, until nothing is left. If something is
-left, the pair is tried again on four times the cells, under another seed: the
-digests are split into four sketches, and only those that fail again go on.
+left, the pair is tried again on eight times the cells, under another seed: the
+digests are split into eight sketches, and only those that fail again go on.
 
 Likeness is shared over joint digests, from the number recovered.
 
@@ -29,18 +29,14 @@ from tidemark.llm.common import checkpointed
 #: Cells of each of a sketch's three rows.
 ROW = 11
 #: Sketches that a failed one is split into.
-SPLIT = 4
-#: Peeling rounds; each takes out all digests that stand alone.
-ROUNDS = 8
-#: Retries between two looks at whether all are done.
-RETRIES = 6
+SPLIT = 8
+#: Peeling rounds; each takes out all digests that stand alone in a row of cells.
+ROUNDS = 12
 #: Documents of a range of ids.
-RANGE_DOCS = 4000
+RANGE_DOCS = 2000
 #: What ends a paragraph.
 PARAGRAPH_END = r"(?<=[.!?])\s+|[\r\n]+"
 
-CELL = "struct<n: int, x: bigint, c: bigint>"
-
 
 def digests(text: Column) -> Column:
     """Distinct digests of a text's paragraphs."""
@@ -52,80 +48,79 @@ def _check(x: Column) -> Column:
     return F.xxhash64(x, F.lit("check"))
 
 
-def _cell(x: Column, row: int, seed: int) -> Column:
-    return F.pmod(F.xxhash64(x, F.lit(seed * 3 + row)), F.lit(ROW)).cast("int") + row * ROW
-
-
 def _cell_of(n: Column, x: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), x.alias("x"), c.alias("c"))
 
 
-def sketch(keys: Column, seed: int = 0) -> Column:
-    """The cells of an array of digests."""
-    placed = F.transform(keys, lambda x: F.struct(x.alias("x"), _check(x).alias("c"), _cell(x, 0, seed).alias("p"), _cell(x, 1, seed).alias("q"), _cell(x, 2, seed).alias("r")))
-
-    def cell(i: Column) -> Column:
-        own = F.filter(placed, lambda u: (u["p"] == i) | (u["q"] == i) | (u["r"] == i))
-        zero = _cell_of(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
-        return F.aggregate(own, zero, lambda s, u: _cell_of(s["n"] + 1, s["x"].bitwiseXOR(u["x"]), s["c"].bitwiseXOR(u["c"])))
-
-    return F.transform(F.sequence(F.lit(0), F.lit(3 * ROW - 1)), cell)
-
-
-def subtract(a: Column, b: Column) -> Column:
-    return F.zip_with(a, b, lambda p, q: _cell_of(p["n"] - q["n"], p["x"].bitwiseXOR(q["x"]), p["c"].bitwiseXOR(q["c"])))
-
-
-def peel(cells: Column, seed: int = 0) -> Column:
-    """(cells, found): what is left, and the recovered digests (n: 1 only in the first, -1 only in the second)."""
-
-    def alone(cells: Column) -> Column:
-        pure = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (_check(c["x"]) == c["c"]))
-        return F.array_distinct(pure)
-
-    def round_(state: Column, _: Column) -> Column:
-        out = F.transform(state["next"], lambda c: F.struct(c.alias("of"), _cell(c["x"], 0, seed).alias("p"), _cell(c["x"], 1, seed).alias("q"), _cell(c["x"], 2, seed).alias("r")))
-        left = F.transform(
-            state["cells"],
-            lambda c, i: F.aggregate(out, c, lambda s, u: F.when((u["p"] == i) | (u["q"] == i) | (u["r"] == i), _cell_of(s["n"] - u["of"]["n"], s["x"].bitwiseXOR(u["of"]["x"]), s["c"].bitwiseXOR(u["of"]["c"]))).otherwise(s)),
-        )
-        left = F.when(F.size(state["next"]) == 0, state["cells"]).otherwise(left)
-        return F.struct(left.alias("cells"), F.concat(state["found"], state["next"]).alias("found"), F.array().cast(f"array<{CELL}>").alias("next"))
-
-    def turn(state: Column, i: Column) -> Column:
-        return F.struct(state["cells"].alias("cells"), state["found"].alias("found"), alone(state["cells"]).alias("next"))
-
-    kind = f"struct<cells: array<{CELL}>, found: array<{CELL}>, next: array<{CELL}>>"
-    start = F.struct(cells.alias("cells"), F.array().cast(f"array<{CELL}>").alias("found"), F.array().cast(f"array<{CELL}>").alias("next")).cast(kind)
-    # Odd steps look for digests that stand alone, even steps take them out.
-    return F.aggregate(F.sequence(F.lit(1), F.lit(2 * ROUNDS)), start, lambda s, i: F.when(i % 2 == 1, turn(s, i)).otherwise(round_(s, i)).cast(kind))
-
-
-def differences(pairs: DataFrame) -> DataFrame:
-    """id, differ for pairs (id, a, b) of digest arrays: how many digests are in one only."""
-    part = "struct<a: array<bigint>, b: array<bigint>, differ: int>"
-    work = pairs.select("id", F.struct("a", "b", F.lit(None).cast("int").alias("differ")).cast(part).alias("part"))
-    seed, done = 0, []
-    while True:
-        for _ in range(RETRIES):
-            a, b = F.col("part.a"), F.col("part.b")
-            tried = work.withColumn("left", F.when(F.col("part.differ").isNull(), peel(subtract(sketch(a, seed), sketch(b, seed)), seed)))
-            clear = F.forall("left.cells", lambda c: (c["n"] == 0) & (c["x"] == 0) & (c["c"] == 0))
-            of = lambda keys, g, s=seed: F.filter(keys, lambda x: F.pmod(F.xxhash64(x, F.lit(-1 - s)), F.lit(SPLIT)) == g)
-            none = F.array().cast("array<bigint>")
-            found = F.struct(none.alias("a"), none.alias("b"), F.size("left.found").alias("differ")).cast(part)
-            again = F.transform(F.sequence(F.lit(0), F.lit(SPLIT - 1)), lambda g: F.struct(of(F.col("part.a"), g).alias("a"), of(F.col("part.b"), g).alias("b"), F.lit(None).cast("int").alias("differ")).cast(part))
-            work = tried.select("id", F.explode(F.when(F.col("left").isNull(), F.array("part")).when(clear, F.array(found)).otherwise(again)).alias("part"))
-            seed += 1
-        work = checkpointed(work)
-        done.append(work.filter("part.differ is not null").select("id", "part.differ"))
-        work = work.filter("part.differ is null")
-        if work.isEmpty():
-            break
+def sketch(keys: Column) -> Column:
+    """The cells of an array of digests, row by row, as the fingerprint shows them."""
+    zero = _cell_of(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+
+    def row(r: int) -> Column:
+        placed = F.transform(keys, lambda x: F.struct(_place(x, r, F.lit(0)).alias("at"), x.alias("x"), _check(x).alias("c")))
+        return F.transform(F.sequence(F.lit(0), F.lit(ROW - 1)), lambda i: F.aggregate(F.filter(placed, lambda u: u["at"] == i), zero, lambda s, u: _cell_of(s["n"] + 1, s["x"].bitwiseXOR(u["x"]), s["c"].bitwiseXOR(u["c"]))))
+
+    return F.concat(*(row(r) for r in range(3)))
+
+
+def _peeled(cells: DataFrame, by: list[str]) -> DataFrame:
+    """Cells after ROUNDS rounds of peeling, and under row 3 how many digests came out.
+
+    A round looks at one row of cells: there each digest has one cell, so none
+    is taken out twice.
+    """
+    held = "n <> 0 or x <> 0 or c <> 0"
+    for k in range(ROUNDS):
+        row = k % 3
+        pure = (F.col("row") == row) & (F.abs("n") == 1) & (_check(F.col("x")) == F.col("c"))
+        out = [F.struct(F.lit(r).alias("row"), _place(F.col("x"), r, F.col("seed")).alias("cell"), (-F.col("n")).alias("n"), "x", "c") for r in range(3) if r != row]
+        count = F.struct(F.lit(3).alias("row"), F.lit(0).alias("cell"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("c"))
+        same = F.struct("row", "cell", "n", "x", "c")
+        moved = cells.select(*by, "seed", F.explode(F.when(pure, F.array(*out, count)).otherwise(F.array(same))).alias("to")).select(*by, "seed", "to.*")
+        cells = moved.groupBy(*by, "seed", "row", "cell").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).filter(held)
+    return cells
+
+
+def _place(x: Column, row: int, seed: Column) -> Column:
+    return F.pmod(F.xxhash64(x, seed * 3 + row), F.lit(ROW)).cast("int")
+
+
+def _group(x: Column, tries: int) -> Column:
+    """The part that a digest is in after so many splits."""
+    at = F.lit(0).cast("long")
+    for seed in range(tries):
+        at = at * SPLIT + F.pmod(F.xxhash64(x, F.lit(-1 - seed)), F.lit(SPLIT))
+    return at
+
+
+def differences(rows: DataFrame) -> DataFrame:
+    """range, n, pair, differ: digests in one set only, for pairs 0 (keys, edited_keys) and 1 (keys, next_keys).
+
+    Cells are rows here: digests are hashed to cells and cells summed, with the
+    second set counted down, which subtracts the sketches. Everything of a range
+    stays in the task that the range was sent to.
+    """
+    by = ["range", "n_doc", "pair", "part"]
+    tries, done, failed = 0, [], None
+    while failed is None or not failed.isEmpty():
+        sets = rows if failed is None else rows.join(failed.select("range", "n_doc").distinct(), ["range", "n_doc"], "left_semi")
+        signed = F.array(*(F.struct(F.lit(pair).alias("pair"), F.lit(sign).cast("long").alias("n"), F.col(keys).alias("keys")) for pair, sign, keys in ((0, 1, "keys"), (1, 1, "keys"), (0, -1, "edited_keys"), (1, -1, "next_keys"))))
+        units = sets.repartition("range").select("range", "n_doc", F.explode(signed).alias("set")).select("range", "n_doc", "set.pair", "set.n", F.explode("set.keys").alias("x"))
+        units = units.withColumn("part", _group(F.col("x"), max(0, tries - 1)))
+        if failed is not None:
+            units = units.join(failed, by, "left_semi").withColumn("part", _group(F.col("x"), tries))
+        seed = F.lit(tries)
+        cells = units.withColumn("seed", seed).withColumn("c", _check(F.col("x"))).select(*by, "seed", "n", "x", "c", F.explode(F.array(*(F.struct(F.lit(r).alias("row"), _place(F.col("x"), r, F.col("seed")).alias("cell")) for r in range(3)))).alias("to"))
+        cells = cells.groupBy(*by, "seed", F.col("to.row").alias("row"), F.col("to.cell").alias("cell")).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).filter("n <> 0 or x <> 0 or c <> 0")
+        state = _peeled(cells, by).groupBy(*by).agg(F.sum(F.when(F.col("row") == 3, F.col("n")).otherwise(0)).alias("differ"), F.max("row").alias("most"), F.min("row").alias("least"))
+        state = checkpointed(state)
+        done.append(state.filter("least = 3").select("range", "n_doc", "pair", "differ"))
+        failed = state.filter("least < 3").select(*by)
+        tries += 1
     out = done[0]
     for more in done[1:]:
         out = out.unionAll(more)
-    return out.groupBy("id").agg(F.sum("differ").alias("differ"))
+    return out.groupBy("range", "n_doc").agg(*(F.sum(F.when(F.col("pair") == k, F.col("differ")).otherwise(0)).alias(f"differ{k}") for k in (0, 1)))
 
 
 def following(docs: DataFrame) -> DataFrame:
@@ -156,15 +151,15 @@ def fingerprint_documents(docs: DataFrame) -> DataFrame:
     edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut))
     rows = following(docs).select("id", "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "keys", F.col("next.keys").alias("next_keys"))
     rows = checkpointed(rows.select("id", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys"))
-    pairs = rows.select("id", "keys", F.explode(F.array(F.struct(F.lit(0).alias("k"), F.col("edited_keys").alias("b")), F.struct(F.lit(1).alias("k"), F.col("next_keys").alias("b")))).alias("with"))
-    found = differences(pairs.select(F.struct("id", "with.k").alias("id"), F.col("keys").alias("a"), "with.b"))
-    found = found.groupBy("id.id").agg(*(F.max(F.when(F.col("id.k") == k, F.col("differ"))).alias(f"differ{k}") for k in (0, 1)))
+    found = differences(rows.select("id.range", F.col("id.n").alias("n_doc"), "keys", "edited_keys", "next_keys"))
 
     def likeness(other: str, differ: str) -> Column:
         both = F.size("keys") + F.size(other)
-        return F.when(both == 0, 1.0).otherwise((both - F.col(differ)) / (both + F.col(differ)))
+        apart = F.coalesce(F.col(differ), F.lit(0))  # nothing left after subtraction: no row
+        return F.when(both == 0, 1.0).otherwise((both - apart) / (both + apart))
 
-    return rows.join(found, "id").select("doc_id", "n_chars", "edited_sha256", as_text(sketch(F.col("keys"))).alias("fingerprint"), as_text(sketch(F.col("edited_keys"))).alias("edited_fingerprint"), likeness("edited_keys", "differ0").alias("near_edited"), likeness("next_keys", "differ1").alias("near_next"))
+    found = found.select(F.struct("range", F.col("n_doc").alias("n")).alias("id"), "differ0", "differ1")
+    return rows.join(found, "id", "left").select("doc_id", "n_chars", "edited_sha256", as_text(sketch(F.col("keys"))).alias("fingerprint"), as_text(sketch(F.col("edited_keys"))).alias("edited_fingerprint"), likeness("edited_keys", "differ0").alias("near_edited"), likeness("next_keys", "differ1").alias("near_next"))
 
 
 def op8_iblt_fingerprint(spark, sf_dir):
