@@ -28,12 +28,13 @@ Ties: the first window. Empty tables: empty result. Extra columns are ignored.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 from itertools import combinations
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -219,22 +220,26 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     return docs.sparkSession.createDataFrame([], LEAKS) if out is None else out
 
 
+def _leaking(shared: Broadcast) -> Callable:
+    """A column function: does a text hold an item of the index?"""
+
+    @F.arrow_udf("boolean")
+    def leaking(texts: pa.Array) -> pa.Array:
+        out = np.zeros(len(texts), bool)
+        for run in word_runs(texts, fold=True):
+            marked = _candidates(shared.value, run)
+            for i, words in _texts(run):
+                out[i] = marked[i - run.first] and bool(shared.value.search(words))
+        return pa.array(out)
+
+    return leaking
+
+
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, columns unchanged."""
     sc = docs.sparkSession.sparkContext
     for index in _indices(benchmark):
-        shared = sc.broadcast(index)
-
-        @F.arrow_udf("boolean")
-        def leaking(texts: pa.Array, shared=shared) -> pa.Array:
-            out = np.zeros(len(texts), bool)
-            for run in word_runs(texts, fold=True):
-                marked = _candidates(shared.value, run)
-                for i, words in _texts(run):
-                    out[i] = marked[i - run.first] and bool(shared.value.search(words))
-            return pa.array(out)
-
-        docs = docs.filter(~leaking(F.col("text")))
+        docs = docs.filter(~_leaking(sc.broadcast(index))(F.col("text")))
     return docs
 
 

@@ -5,8 +5,8 @@ stops at ``cap`` times its size; what is cut off goes to the others by weight.
 The mix is dealt in equal blocks of words: shard by shard, sources are awarded
 blocks by highest quotients target / (2 k + 1), which gives whole quotas. A
 source's documents stand in a seeded order, end to end, cut into blocks, and
-its awarded instances go round them evenly, so that a block is taken floor or
-ceil of quota / blocks times.
+its quota goes round them block by block, so that every block is taken
+quota / blocks times, rounded down, and the first ones once more.
 
 Only counts of words move; everything after the count is exact integer
 arithmetic, so reruns agree. The running sum of a source is taken in two steps
@@ -21,7 +21,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed, id_text, word_count
+from tidemark.llm.common import WORD, checkpointed, id_text, word_count
 
 #: Weights of the sources by code point, repeating.
 WEIGHTS = (3, 1, 2)
@@ -65,9 +65,9 @@ def quotas(goals: DataFrame, block: int, shards: int) -> DataFrame:
 
 
 def mix(docs: DataFrame, *, share: float = 1.5, cap: int = 2, block: int = BLOCK, shards: int = SHARDS, seed: int = 17, weights: tuple[int, ...] = WEIGHTS) -> DataFrame:
-    """doc_id, source, size, source_size, target, taken, mix_shard and the layout that cuts texts (start, blocks, quota)."""
+    """doc_id, source, size, source_size, target, taken, mix_shard; taken is rounds whole copies and the first extra words."""
     order = F.md5(F.concat(F.lit(f"{seed}:"), id_text(F.col("doc_id"))).cast("binary"))
-    sizes = checkpointed(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order")).withColumn("prefix", F.substring("order", 1, 3)))
+    sizes = checkpointed(docs.select("doc_id", "source", word_count(F.col("text")).alias("size"), order.alias("order"), F.xxhash64("text").alias("tkey")).withColumn("prefix", F.substring("order", 1, 3)))
     goals = targets(sizes, share, cap, weights).withColumn("blocks", F.expr(f"(source_size + {block - 1}) div {block}"))
     goals = checkpointed(goals)
     ends = quotas(goals, block, shards).groupBy("source_no").agg(F.sort_array(F.collect_list("upto")).alias("ends"))
@@ -75,23 +75,37 @@ def mix(docs: DataFrame, *, share: float = 1.5, cap: int = 2, block: int = BLOCK
     prefixes = sizes.groupBy("source", "prefix").agg(F.sum("size").alias("n"))
     prefixes = prefixes.select(F.col("source").alias("of"), F.col("prefix").alias("at"), (F.sum("n").over(Window.partitionBy("source").orderBy("prefix")) - F.col("n")).alias("before"))
     goals = goals.withColumnRenamed("source", "of")
-    inside = Window.partitionBy("source", "prefix").orderBy("order", "doc_id", "size").rowsBetween(Window.unboundedPreceding, 0)
+    inside = Window.partitionBy("source", "prefix").orderBy("order", "doc_id", "size", "tkey").rowsBetween(Window.unboundedPreceding, 0)
     placed = sizes.withColumn("upto", F.sum("size").over(inside)).join(prefixes, F.col("source").eqNullSafe(F.col("of")) & (F.col("prefix") == F.col("at"))).withColumn("start", F.col("before") + F.col("upto") - F.col("size")).drop("of", "at", "before", "upto")
     placed = placed.join(goals, F.col("source").eqNullSafe(F.col("of")))
 
-    def instances(b: str) -> str:
-        """Instances of the quota that lie before block b."""
-        return f"(cast({b} as decimal(19,0)) * cast(quota as decimal(19,0)) + greatest(blocks, 1) - 1) div greatest(blocks, 1)"
+    rounds = F.expr("quota div greatest(blocks, 1)")
+    last = F.expr(f"(quota % greatest(blocks, 1)) * {block}")
+    placed = placed.withColumn("rounds", rounds).withColumn("extra", F.least(F.col("size"), F.greatest(F.lit(0).cast("long"), last - F.col("start"))))
+    taken = F.col("rounds") * F.col("size") + F.col("extra")
+    first = F.expr(f"start div {block}")
+    shard = F.least(F.size(F.filter("ends", lambda e: e <= first)), F.lit(shards - 1)).cast("int")
+    return placed.withColumn("taken", taken).withColumn("mix_shard", F.when(F.col("taken") > 0, shard)).select("doc_id", "source", "tkey", "size", "source_size", "target", "taken", "mix_shard", "rounds", "extra")
 
-    def words(x: str) -> str:
-        """Words that the mix takes before word x of the source."""
-        b = f"(({x}) div {block})"
-        return f"{block} * ({instances(b)}) + ({instances(b + ' + 1')} - ({instances(b)})) * (({x}) % {block})"
 
-    taken = F.expr(f"bigint(({words('start + size')}) - ({words('start')}))")
-    first = F.expr(instances(f"(start div {block})")).cast("long")
-    shard = F.size(F.filter("ends", lambda e: e <= F.col("first"))).cast("int")
-    return placed.withColumn("taken", taken).withColumn("first", first).withColumn("mix_shard", F.when(F.col("taken") > 0, F.least(shard, F.lit(shards - 1)))).select("doc_id", "source", "size", "source_size", "target", "taken", "mix_shard", "start", "blocks", "quota")
+def mixed_documents(docs: DataFrame, **options) -> DataFrame:
+    """The rows of the mix, columns unchanged: a document as often as it was taken.
+
+    The document that a source's last block ends in comes with its first words
+    only, joined by one space, and n_chars to match. Equal rows share a text but
+    are taken each by its own place.
+    """
+    keys = {"__id": F.struct("doc_id", "source"), "__tkey": F.xxhash64("text")}
+    placed = mix(docs, **options).select(F.struct("doc_id", "source").alias("__id"), F.col("tkey").alias("__tkey"), "size", "rounds", "extra").filter("rounds > 0 or extra > 0")
+    placed = placed.withColumn("__words", F.explode(F.concat(F.array_repeat("size", F.col("rounds").cast("int")), F.when(F.col("extra") > 0, F.array("extra")).otherwise(F.array().cast("array<bigint>"))))).filter("__words > 0").withColumn("__part", F.col("__words") < F.col("size")).drop("size", "rounds", "extra")
+    rows = docs.withColumns(keys)
+    columns = docs.columns
+    rows = rows.dropDuplicates(["__id", "__tkey"]).join(placed, ["__id", "__tkey"])
+    cut = F.array_join(F.slice(F.regexp_extract_all("text", F.lit(f"({WORD})"), F.lit(1)), F.lit(1), F.col("__words").cast("int")), " ")
+    rows = rows.withColumn("text", F.when(F.col("__part"), cut).otherwise(F.col("text")))
+    if "n_chars" in columns:
+        rows = rows.withColumn("n_chars", F.when(F.col("__part"), F.length("text").cast(docs.schema["n_chars"].dataType)).otherwise(F.col("n_chars")))
+    return rows.select(*columns)
 
 
 def mix_report(docs: DataFrame, **options) -> DataFrame:
@@ -120,8 +134,7 @@ p AS (SELECT d.doc_id, d.size, t.source_size, t.target, t.no, t.blocks, least(2
     sum(d.size) OVER (PARTITION BY d.source ORDER BY d.ord, d.doc_id, d.size ROWS UNBOUNDED PRECEDING)::BIGINT AS hi
   FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source LEFT JOIN q ON q.no = t.no),
 x AS (SELECT *, hi - size AS lo, greatest(blocks, 1)::HUGEINT AS n FROM p),
-y AS (SELECT *, ((lo // 32) * quota + n - 1) // n AS i0, ((lo // 32 + 1) * quota + n - 1) // n AS i1, ((hi // 32) * quota + n - 1) // n AS j0, ((hi // 32 + 1) * quota + n - 1) // n AS j1 FROM x),
-z AS (SELECT *, (32 * j0 + (j1 - j0) * (hi % 32) - 32 * i0 - (i1 - i0) * (lo % 32))::BIGINT AS taken FROM y),
+z AS (SELECT *, ((quota // n) * size + greatest(0, least(size, (quota % n) * 32 - lo)))::BIGINT AS taken, lo // 32 AS i0 FROM x),
 m AS (SELECT no, sh, sum(CASE WHEN rk <= floor(floor(whole / 32 + 0.5) * (sh + 1) / 8) THEN 1 ELSE 0 END) AS upto FROM q1, generate_series(0, 7) g(sh) GROUP BY no, sh)
 SELECT doc_id, size, source_size, target, taken,
   (CASE WHEN taken > 0 THEN least(7, (SELECT count(*) FROM m WHERE m.no = z.no AND m.upto <= z.i0)) END)::INTEGER AS mix_shard
