@@ -131,18 +131,18 @@ class Parser:
             starts.append(at)
             at += len(table)
         self.table = np.concatenate(tables)
-        self.root = np.array(starts, np.int32)
-        first = self.table[self.root] if self.langs else np.zeros((0, width), np.int32)
-        lone = np.array([self.root[i + 1] - 1 if i + 1 < len(starts) else at - 1 for i in range(len(starts))], np.int32)
-        self.restart = np.where(first > 0, first, lone[:, None]).astype(np.int32)
+        first = self.table[starts] if self.langs else np.zeros((0, width), np.int32)
+        #: Of each language the state after a phrase of one unmatched letter, and before the first phrase.
+        self.alone = np.array([*starts[1:], at][: len(starts)], np.int32) - 1
+        self.restart = np.where(first > 0, first, self.alone[:, None]).astype(np.int32)
 
     def phrases(self, segments: np.ndarray) -> np.ndarray:
         """Phrases of each language (row) in each segment (column); segments: segment x position."""
         n, langs, width = len(segments), len(self.langs), self.pad + 1
         columns, flat, restart = np.ascontiguousarray(segments.T), self.table.ravel(), self.restart.ravel()
         base = (np.arange(langs, dtype=np.int32) * width)[:, None]
-        state = np.repeat(self.root[:, None], n, axis=1)
-        count = np.ones((langs, n), np.int32)
+        state = np.repeat(self.alone[:, None], n, axis=1)
+        count = np.zeros((langs, n), np.int32)
         for c in columns:
             state *= width
             state += c
