@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
+import gc
 import tempfile
+from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,18 +17,29 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def shared_folder(spark: SparkSession) -> str:
+    """The folder that driver and executors share: ``spark.checkpoint.dir``, a temporary one where unset."""
+    sc = spark.sparkContext
+    if sc.getCheckpointDir() is None:
+        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
+    return sc.getCheckpointDir()
+
+
 def checkpointed(df: DataFrame) -> DataFrame:
-    """``df`` computed once and kept in the cluster's shared checkpoint folder.
+    """``df`` computed once and kept as Parquet in the shared folder, under the application's id.
 
-    The folder is the session's ``spark.checkpoint.dir``; only where that is
-    unset (local tests) a temporary folder is used.
+    Spark deletes the shuffle files of a finished step once nothing in the driver
+    refers to them; on small disks that mustn't wait for memory to run short, so
+    garbage is collected here, in Python and in the JVM.
     """
-    spark = df.sparkSession
+    spark, schema = df.sparkSession, df.schema
     sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        folder = spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-")
-        sc.setCheckpointDir(folder)
-    return df.checkpoint(eager=True)
+    path = f"{shared_folder(spark)}/tidemark-{sc.applicationId}/{uuid4().hex}"
+    df.write.parquet(path)
+    del df
+    gc.collect()
+    sc._jvm.System.gc()
+    return spark.read.schema(schema).parquet(path)
 
 
 def word_count(text: Column) -> Column:

@@ -13,9 +13,11 @@ from pyspark.sql import functions as F
 from tidemark.llm.common import checkpointed
 
 
-def _mark(edges: DataFrame) -> tuple[int, int]:
-    row = edges.agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("a", "b")).alias("x")).first()
-    return row["n"], row["x"] or 0
+def _settled(edges: DataFrame) -> bool:
+    """Whether every node points at one root and no root points anywhere."""
+    one = edges.groupBy("a").agg(F.min("b").alias("p"), F.max("b").alias("q"))
+    crossed = one.filter("p <> q").select("a").unionAll(edges.join(edges.select(F.col("b").alias("a")).distinct(), "a", "left_semi").select("a"))
+    return crossed.isEmpty()
 
 
 def components(links: DataFrame) -> DataFrame:
@@ -26,9 +28,7 @@ def components(links: DataFrame) -> DataFrame:
     """
     a, b = links.columns
     edges = checkpointed(links.select(F.greatest(a, b).alias("a"), F.least(a, b).alias("b")).filter("a <> b").distinct())
-    before = None
-    while (now := _mark(edges)) != before and now[0]:
-        before = now
+    while not _settled(edges):
         # Large star: every larger neighbour moves to the least of its node's neighbourhood.
         both = edges.unionAll(edges.select(F.col("b").alias("a"), F.col("a").alias("b")))
         least = both.groupBy("a").agg(F.min("b").alias("m")).select("a", F.least("a", "m").alias("m"))
@@ -38,4 +38,4 @@ def components(links: DataFrame) -> DataFrame:
         least = edges.groupBy("a").agg(F.min("b").alias("m"))
         moved = edges.join(least, "a")
         edges = checkpointed(moved.select(F.col("b").alias("a"), F.col("m").alias("b")).unionAll(least.select("a", F.col("m").alias("b"))).filter("a <> b").distinct())
-    return edges.groupBy("a").agg(F.min("b").alias("root")).select(F.col("a").alias("node"), "root").unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct()).groupBy("node").agg(F.min("root").alias("root"))
+    return edges.select(F.col("a").alias("node"), F.col("b").alias("root")).unionAll(edges.select(F.col("b").alias("node"), F.col("b").alias("root")).distinct())

@@ -38,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import checkpointed
+from tidemark.llm.common import WORD, checkpointed
 from tidemark.llm.components import components
 from tidemark.llm.wordhash import Run, mix, word_runs
 
@@ -48,6 +48,9 @@ BAND = 1.4
 SEEDS = 4
 #: One part in so many is spare.
 SPARE = 16
+#: Bits of a parity sketch for each shingle that two sets may differ by; with 32,
+#: pairs that differ by a twentieth more than allowed are rejected.
+SKETCH_BITS = 32
 #: Members of a bucket that meet in one task: two chunks.
 CHUNK = 256
 
@@ -57,7 +60,7 @@ while _bands[-1] < 1 << 40:
 _BANDS = np.array(_bands, np.int64)
 #: Stands for a null id where texts are fetched.
 NO_ID = -(1 << 63)
-SKETCHED = "doc_id bigint, n_shingles bigint, class bigint, sketch binary, sigs array<bigint>"
+SKETCHED = "doc_id bigint, tkey bigint, n_shingles bigint, class bigint, sketch binary, sigs array<bigint>"
 
 
 def most_differing(n: int, percent: int) -> int:
@@ -112,10 +115,10 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
 
 
 def sketch(found: np.ndarray, percent: int) -> bytes:
-    """Parities of the set's shingles hashed to bits, at least four for each that may differ."""
+    """Parities of the set's shingles hashed to bits, at least SKETCH_BITS for each that may differ."""
     band = int(np.searchsorted(_BANDS, len(found), "right")) - 1
     bits = 64
-    while bits < 4 * most_differing(2 * _bands[band + 1], percent):
+    while bits < SKETCH_BITS * most_differing(2 * _bands[band + 1], percent):
         bits *= 2
     return np.packbits((np.bincount((mix(found) & np.uint64(bits - 1)).astype(np.int64), minlength=bits) & 1).astype(np.uint8), bitorder="little").tobytes()
 
@@ -137,7 +140,7 @@ def sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
+            ids, texts = batch.select([0, 1]), batch.column(2)
             n, classes, sketches, sigs, seen = [], [], [], [], set()
             for run in word_runs(texts, fold=True):
                 for _, found in shingles(run, size):
@@ -149,15 +152,15 @@ def sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
                     sigs.append(_signed(signatures(found, percent)) if new else None)
                     seen.add(key)
                 if sum(len(x) for x in sigs if x is not None) > 1 << 20:
-                    yield pack(ids[: len(n)], n, classes, sketches, sigs)
-                    ids, n, classes, sketches, sigs = ids[len(n) :], [], [], [], []
+                    yield pack(ids.slice(0, len(n)), n, classes, sketches, sigs)
+                    ids, n, classes, sketches, sigs = ids.slice(len(n)), [], [], [], []
             yield pack(ids, n, classes, sketches, sigs)
 
-    def pack(ids: pa.Array, *columns: list) -> pa.RecordBatch:
+    def pack(ids: pa.RecordBatch, *columns: list) -> pa.RecordBatch:
         kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([ids.cast(pa.int64()), *(pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True))], ["doc_id", "n_shingles", "class", "sketch", "sigs"])
+        return pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True))], ["doc_id", "tkey", "n_shingles", "class", "sketch", "sigs"])
 
-    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, SKETCHED)
+    return docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(work, SKETCHED)
 
 
 def _buckets(marks: DataFrame) -> DataFrame:
@@ -259,7 +262,7 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, p
 
 
 def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
-    """doc_id, n_shingles, component_id, class_id of every document."""
+    """doc_id, tkey (text hash), n_shingles, class, root and component_id of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = checkpointed(sketched(docs, size, percent))
     buckets = _buckets(marks)
@@ -275,11 +278,27 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     rest = checkpointed(_close_pairs(_chunks(labelled.join(open_, "sig", "left_semi")), percent, forest=False).join(tried, ["a", "b"], "left_anti"))
     more = checkpointed(_verified(rest, firsts, docs, size, percent))
     roots = components(links.unionAll(more)).withColumnRenamed("node", "class")
-    placed = marks.select("doc_id", "n_shingles", "class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
+    placed = marks.select("doc_id", "tkey", "n_shingles", "class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     placed = checkpointed(placed)
     names = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    return placed.join(names, "root", "left").select("doc_id", "n_shingles", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.col("class").alias("class_id"))
+    return placed.join(names, "root", "left").select("doc_id", "tkey", "n_shingles", "class", "root", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
+
+
+def deduplicated(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
+    """The documents with one of each component left, columns unchanged: the first by id, null last.
+
+    Documents without words stay, as they are linked with nothing. Rows that
+    share the first id of their component are told apart by text hash; of equal
+    rows one stays.
+    """
+    first = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("tkey"))
+    placed = checkpointed(ngram_join(docs, size=size, percent=percent).filter("class is not null").select("doc_id", "tkey", "root"))
+    keep = placed.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.id").alias("__id"), F.col("first.tkey").alias("__tkey"), F.lit(True).alias("__keep"))
+    marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "__tkey": F.xxhash64("text")})
+    kept = marked.join(keep, ["__id", "__tkey"], "left").filter(F.col("__keep") | (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) == 0))
+    worded = kept.filter("__keep").dropDuplicates(["__id", "__tkey"])
+    return worded.unionByName(kept.filter("__keep is null")).drop("__id", "__tkey", "__keep")
 
 
 def op1_partenum_join(spark, sf_dir):
-    return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=4, percent=85)
+    return ngram_join(spark.read.parquet(f"{sf_dir}/documents.parquet"), size=4, percent=85).select("doc_id", "n_shingles", "component_id", F.col("class").alias("class_id"))

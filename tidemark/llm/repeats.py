@@ -17,8 +17,8 @@ Rows are sorted by Spark within shuffle partitions and spill to disk; no group
 is gathered in memory. Digests have 64 bits.
 
 A text that is null counts as empty. Documents are ordered by id, null last,
-then by text hash; rows equal in id and text are one document and get the same
-result. Texts shorter than a window stay whole, unless they repeat nothing
+then by text hash; rows equal in id and text are one document (they share ranks below) and get the
+same result. Texts shorter than a window stay whole, unless they repeat nothing
 anyway. Long texts are read whole, in pieces where the kernel can. Extra columns
 are ignored. Empty table: empty result.
 """
@@ -153,15 +153,17 @@ def repeated(docs: DataFrame, pieces: Callable, length: int) -> DataFrame:
     rows = docs.select("at", "tkey", "digest", "text").mapInArrow(_stretch_rows(pieces, length), STRETCHES).repartition("name")
     place = ["at", "tkey", "first"]
     same, named = Window.partitionBy("name", "digest").orderBy(*place), Window.partitionBy("name")
-    rows = rows.withColumn("k", F.row_number().over(same)).withColumn("p", F.min("digest").over(named)).withColumn("q", F.max("digest").over(named))
+    rows = rows.withColumn("k", F.dense_rank().over(same)).withColumn("p", F.min("digest").over(named)).withColumn("q", F.max("digest").over(named))
     marks = checkpointed(rows.filter("k > 1 or p < q").select(*place, "windows", (F.col("k") > 1).alias("repeat")))
     unsure = marks.filter("not repeat").groupBy("at", "tkey").agg(F.collect_list(F.struct("first", "windows")).alias("stretches"))
-    asked = docs.select("at", "tkey", "text").join(unsure, ["at", "tkey"]).dropDuplicates(["at", "tkey"]).select("at", "tkey", "text", "stretches")
+    asked = docs.select("at", "tkey", "text").join(unsure, ["at", "tkey"]).select("at", "tkey", "text", "stretches")
     windows = asked.mapInArrow(_window_rows(pieces, length), WINDOWS)
-    later = windows.withColumn("k", F.row_number().over(Window.partitionBy("digest").orderBy(*place))).filter("k > 1")
+    later = windows.withColumn("k", F.dense_rank().over(Window.partitionBy("digest").orderBy(*place))).filter("k > 1")
     later = checkpointed(later.select(*place, F.lit(1).alias("windows")))
-    found = marks.filter("repeat").select(*place, "windows").unionAll(later).groupBy("at", "tkey").agg(F.collect_list(F.struct("first", "windows")).alias("repeats"))
-    return docs.join(heads, "digest", "left").join(found, ["at", "tkey"], "left").select("doc_id", "text", (F.col("at") > F.col("head")).alias("whole"), "repeats")
+    found = marks.filter("repeat").select(*place, "windows").unionAll(later)
+    whole = docs.select("at", "tkey", "digest").join(heads, "digest").filter("at > head").select("at", "tkey", F.lit(-1).cast("long").alias("first"), F.lit(0).alias("windows"))
+    found = found.unionAll(whole).groupBy("at", "tkey").agg(F.collect_list(F.when(F.col("first") >= 0, F.struct("first", "windows"))).alias("repeats"), (F.min("first") < 0).alias("whole"))
+    return docs.select("at", "tkey", "doc_id", "text").join(found, ["at", "tkey"], "left").select("doc_id", "text", "whole", "repeats")
 
 
 def _cut_bytes(length: int) -> Callable:
