@@ -53,8 +53,10 @@ def near_copies(n, seed):
     return rows + [(n + i, " ".join(f"y{rng.randrange(9)}" for _ in range(rng.randrange(12)))) for i in range(60)]
 
 
-@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
-def test_against_brute_force(spark, size, percent):
+@pytest.mark.parametrize("size,percent,chunk", [(4, 85, 256), (5, 80, 8)])
+def test_against_brute_force(spark, monkeypatch, size, percent, chunk):
+    monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "HUBS", 2)
     rows = near_copies(120, size)
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), size=size, percent=percent)
     assert sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in got.collect()) == brute(rows, size, percent)

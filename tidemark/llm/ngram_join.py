@@ -19,8 +19,10 @@ never exceeds the true one, so a rejection is sure. What passes is verified on
 the sets themselves, in two rounds: first a spanning forest of the best pairs of
 each bucket, then the pairs that are still not connected. A pair that meets in
 several buckets is looked at in the largest of either only. Large buckets are
-cut into chunks that meet pairwise in separate tasks, and no group's pairs are
-ever all emitted.
+cut into chunks. In the first round a chunk meets a few hubs of its bucket,
+which gives as many pairs as members; in the second, chunks meet pairwise in
+separate tasks, but for those whose members are connected already. No group's
+pairs are ever all emitted.
 
 Nulls, empty texts and texts without words have an empty set and link to
 nothing; fewer words than a shingle make one shingle. Rows with equal ids or
@@ -51,8 +53,10 @@ SPARE = 16
 #: Bits of a parity sketch for each shingle that two sets may differ by; with 32,
 #: pairs that differ by a twentieth more than allowed are rejected.
 SKETCH_BITS = 32
-#: Members of a bucket that meet in one task: two chunks.
+#: Members of a bucket's chunk; two chunks meet in one task.
 CHUNK = 256
+#: Members of a large bucket, on average, that every chunk of it is held against.
+HUBS = 16
 
 _bands = [1]
 while _bands[-1] < 1 << 40:
@@ -178,14 +182,34 @@ def _buckets(marks: DataFrame) -> DataFrame:
     return rows.join(inner, "sig", "left_anti")
 
 
+def _gathered(rows: DataFrame) -> DataFrame:
+    """(sig, i, j, members): rows that meet in one task."""
+    return rows.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
+
+
+def _hubs(rows: DataFrame) -> DataFrame:
+    """A bucket's chunks, each with the bucket's hubs: as many rows as members, and HUBS more a chunk."""
+    chunks = F.ceil(F.col("members") / CHUNK)
+    drawn = F.xxhash64("class", F.lit(7))
+    hub = (chunks > 1) & (F.pmod(drawn, F.col("members")) < HUBS)
+    rows = rows.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks))
+    rows = rows.withColumn("i", F.explode(F.when(hub, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array("chunk"))))
+    return _gathered(rows.withColumn("j", F.col("i")))
+
+
 def _chunks(rows: DataFrame) -> DataFrame:
-    """(sig, i, j, members): the members of two chunks of a bucket, or of one."""
-    n = F.col("chunks")
-    order = Window.partitionBy("sig").orderBy("class")
-    rows = rows.withColumn("chunk", F.floor((F.row_number().over(order) - 1) / CHUNK)).withColumn("chunks", F.ceil(F.col("members") / CHUNK))
-    pairs = F.transform(F.sequence(F.lit(0).cast("long"), n - 1), lambda c: F.struct(F.least(F.col("chunk"), c).alias("i"), F.greatest(F.col("chunk"), c).alias("j")))
-    rows = rows.withColumn("pair", F.explode(pairs))
-    return rows.groupBy("sig", F.col("pair.i").alias("i"), F.col("pair.j").alias("j")).agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
+    """The members of two chunks of a bucket, or of one, unless all have one root."""
+    by_root = Window.partitionBy("sig", "root")
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("sig").orderBy("root", "class")) - 1)
+    rows = rows.withColumn("from", F.min("at").over(by_root)).withColumn("to", F.max("at").over(by_root))
+    chunk, chunks = F.floor(F.col("at") / CHUNK), F.ceil(F.col("members") / CHUNK)
+    # Chunks low..high hold this root alone.
+    low, high = F.ceil(F.col("from") / CHUNK), F.when(F.col("to") == F.col("members") - 1, chunks - 1).otherwise(F.floor((F.col("to") + 1) / CHUNK) - 1)
+    rows = rows.withColumns({"chunk": chunk, "chunks": chunks, "low": low, "high": high})
+    alone = F.col("chunk").between(F.col("low"), F.col("high"))
+    others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: ~(alone & c.between(F.col("low"), F.col("high"))))
+    rows = rows.withColumn("other", F.explode(others))
+    return _gathered(rows.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
 
 
 def _close_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
@@ -270,7 +294,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     members = checkpointed(buckets.join(sketches, "class"))
     shared = members.select("class").distinct()
     firsts = marks.join(shared, "class", "left_semi").groupBy("class").agg(F.min(F.coalesce("doc_id", F.lit(NO_ID))).alias("first"))
-    tried = checkpointed(_close_pairs(_chunks(members.withColumn("root", F.col("class"))), percent, forest=True))
+    tried = checkpointed(_close_pairs(_hubs(members.withColumn("root", F.col("class"))), percent, forest=True))
     links = checkpointed(_verified(tried, firsts, docs, size, percent))
     roots = checkpointed(components(links))
     labelled = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
