@@ -4,11 +4,15 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+#: Seconds that Spark's listeners get to let go of a finished query.
+SETTLE = 0.4
+
 #: A word: anything but ASCII white space.
 WORD = r"[^\x20\x09-\x0D]+"
 
@@ -30,15 +34,18 @@ def checkpointed(df: DataFrame) -> DataFrame:
 
     Spark deletes the shuffle files of a finished step once nothing in the driver
     refers to them; on small disks that mustn't wait for memory to run short, so
-    garbage is collected here, in Python and in the JVM.
+    garbage is collected here, in Python and in the JVM, and once more when
+    Spark's listeners have had time to let go of the finished query.
     """
     spark, schema = df.sparkSession, df.schema
     sc = spark.sparkContext
     path = f"{shared_folder(spark)}/tidemark-{sc.applicationId}/{uuid4().hex}"
     df.write.parquet(path)
     del df
-    gc.collect()
-    sc._jvm.System.gc()
+    for pause in (SETTLE, 0):
+        gc.collect()
+        sc._jvm.System.gc()
+        time.sleep(pause)
     return spark.read.schema(schema).parquet(path)
 
 
