@@ -194,7 +194,8 @@ def _hubs(rows: DataFrame) -> DataFrame:
     hub = (chunks > 1) & (F.pmod(drawn, F.col("members")) < HUBS)
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks))
     rows = rows.withColumn("i", F.explode(F.when(hub, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array("chunk"))))
-    return _gathered(rows.withColumn("j", F.col("i")))
+    # Dealt out before they are gathered: plain rows take less room in a shuffle than lists do.
+    return _gathered(rows.withColumn("j", F.col("i")).repartition("sig", "i", "j"))
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
