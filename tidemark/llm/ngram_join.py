@@ -33,7 +33,7 @@ null ids are documents of their own; component_id is the least non-null id
 from __future__ import annotations
 
 from collections.abc import Iterator
-from functools import reduce
+from functools import cache, reduce
 
 import numpy as np
 import pyarrow as pa
@@ -48,8 +48,10 @@ from tidemark.llm.wordhash import Run, mix, word_runs
 BAND = 1.4
 #: Partitions tried by sets with empty signatures.
 SEEDS = 4
-#: One part in so many is spare.
-SPARE = 16
+#: Parts are added until the spare ones outnumber, by so many standard deviations,
+#: the parts where the smallest sets of a band are expected to have an empty
+#: signature. With 0, sets make the fewest signatures over all partitions.
+SPARE = 0.0
 #: Bits of a parity sketch for each shingle that two sets may differ by; with 32,
 #: pairs that differ by a twentieth more than allowed are rejected.
 SKETCH_BITS = 32
@@ -64,7 +66,7 @@ while _bands[-1] < 1 << 40:
 _BANDS = np.array(_bands, np.int64)
 #: Stands for a null id where texts are fetched.
 NO_ID = -(1 << 63)
-SKETCHED = "doc_id bigint, tkey bigint, n_shingles bigint, class bigint, sketch binary, sigs array<bigint>"
+SKETCHED = "doc_id bigint, tkey bigint, n_shingles bigint, class bigint, sketch binary"
 
 
 def most_differing(n: int, percent: int) -> int:
@@ -89,6 +91,22 @@ def shingles(run: Run, size: int) -> Iterator[tuple[int, np.ndarray]]:
             yield run.first + t, h[:0]
 
 
+@cache
+def domain(band: int, percent: int) -> tuple[int, int, int]:
+    """(parts, spare ones among them, sub-parts of each) of a size band."""
+    k = most_differing(2 * (_bands[band + 1] - 1), percent)
+    if k == 0:
+        return 1, 0, 1
+    needed, least, spare = k // 2 + 1, percent * _bands[band] / 100, 0
+    while spare < needed:
+        parts = needed + spare
+        empty = parts * min(1.0, 3 * float(np.exp(-2 * least / (3 * parts))))
+        if spare >= empty + SPARE * empty**0.5:
+            break
+        spare += 1 + needed // 64
+    return needed + spare, spare, 3
+
+
 def signatures(found: np.ndarray, percent: int) -> np.ndarray:
     """PartEnum signatures of a set of shingles."""
     n, out = len(found), []
@@ -97,10 +115,7 @@ def signatures(found: np.ndarray, percent: int) -> np.ndarray:
     for b in (band, band + 1):
         if b > band and 100 * n < percent * _bands[b]:
             continue  # too small for any set of the next band
-        k = most_differing(2 * (_bands[b + 1] - 1), percent)
-        parts, subs = (1, 1) if k == 0 else (k // 2 + 1, 3)
-        spare = parts // SPARE
-        parts += spare
+        parts, spare, subs = domain(b, percent)
         for seed in range(SEEDS):
             cell = (mix(found + np.uint64(seed * 1009 + 1)) % np.uint64(parts * subs)).astype(np.int64)
             sums = np.zeros(parts * subs, np.uint64)
@@ -137,40 +152,48 @@ def class_of(found: np.ndarray) -> int | None:
 
 
 def sketched(docs: DataFrame, size: int, percent: int) -> DataFrame:
-    """A row for each document: its class (equal sets, equal class), sketch and signatures.
+    """A row for each document: its class (equal sets, equal class) and sketch.
 
-    Of equal sets in one batch only the first carries signatures.
+    Of equal sets in one batch only the first carries a sketch.
     """
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            ids, texts = batch.select([0, 1]), batch.column(2)
-            n, classes, sketches, sigs, seen = [], [], [], [], set()
-            for run in word_runs(texts, fold=True):
+            n, classes, sketches, seen = [], [], [], {None}
+            for run in word_runs(batch.column(2), fold=True):
                 for _, found in shingles(run, size):
                     n.append(len(found))
-                    key = class_of(found)
-                    classes.append(key)
-                    new = key is not None and key not in seen
-                    sketches.append(sketch(found, percent) if new else None)
-                    sigs.append(_signed(signatures(found, percent)) if new else None)
-                    seen.add(key)
-                if sum(len(x) for x in sigs if x is not None) > 1 << 20:
-                    yield pack(ids.slice(0, len(n)), n, classes, sketches, sigs)
-                    ids, n, classes, sketches, sigs = ids.slice(len(n)), [], [], [], []
-            yield pack(ids, n, classes, sketches, sigs)
-
-    def pack(ids: pa.RecordBatch, *columns: list) -> pa.RecordBatch:
-        kinds = (pa.int64(), pa.int64(), pa.binary(), pa.list_(pa.int64()))
-        return pa.RecordBatch.from_arrays([*ids.columns, *(pa.array(x, kind) for x, kind in zip(columns, kinds, strict=True))], ["doc_id", "tkey", "n_shingles", "class", "sketch", "sigs"])
+                    classes.append(class_of(found))
+                    sketches.append(None if classes[-1] in seen else sketch(found, percent))
+                    seen.add(classes[-1])
+            columns = (pa.array(n, pa.int64()), pa.array(classes, pa.int64()), pa.array(sketches, pa.binary()))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), *columns], ["doc_id", "tkey", "n_shingles", "class", "sketch"])
 
     return docs.select("doc_id", F.xxhash64("text").alias("tkey"), "text").mapInArrow(work, SKETCHED)
 
 
-def _buckets(marks: DataFrame) -> DataFrame:
+def signed(docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """(class, sig): the signatures of every set, once for equal sets in one batch."""
+
+    def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            seen: set[int | None] = {None}
+            for run in word_runs(batch.column(0), fold=True):
+                classes, sigs = [], []
+                for _, found in shingles(run, size):
+                    if (key := class_of(found)) not in seen:
+                        seen.add(key)
+                        classes.append(key)
+                        sigs.append(_signed(signatures(found, percent)))
+                if sigs:
+                    yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array(classes, np.int64), [len(x) for x in sigs])), pa.array(np.concatenate(sigs))], ["class", "sig"])
+
+    return docs.select("text").mapInArrow(work, "class bigint, sig bigint")
+
+
+def _buckets(rows: DataFrame) -> DataFrame:
     """(sig, class, home) of every bucket that has to be looked at; home: the class's largest bucket."""
     by_sig = Window.partitionBy("sig")
-    rows = marks.filter("sigs is not null").select("class", F.explode("sigs").alias("sig"))
     rows = rows.withColumn("least", F.min("class").over(by_sig)).withColumn("most", F.max("class").over(by_sig)).filter("least < most").select("sig", "class").distinct()
     rows = checkpointed(rows)
     sizes = rows.groupBy("sig").agg(F.count("*").alias("members"), F.bit_xor(F.xxhash64("class")).alias("x"), F.bit_xor(F.xxhash64("class", F.lit(1))).alias("y"))
@@ -290,7 +313,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     """doc_id, tkey (text hash), n_shingles, class, root and component_id of every document."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
     marks = checkpointed(sketched(docs, size, percent))
-    buckets = _buckets(marks)
+    buckets = _buckets(signed(docs, size, percent))  # hashed anew: signatures take less room sent than kept
     sketches = marks.filter("sketch is not null").groupBy("class").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
     members = checkpointed(buckets.join(sketches, "class"))
     shared = members.select("class").distinct()
