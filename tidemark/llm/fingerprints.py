@@ -101,11 +101,12 @@ def differences(rows: DataFrame) -> DataFrame:
     stays in the task that the range was sent to.
     """
     by = ["range", "n_doc", "pair", "part"]
+    tasks = 2 * -(-rows.count() // RANGE_DOCS) + 1  # a number given isn't lowered to fit what was sent: sets grow into cells
     tries, done, failed = 0, [], None
     while failed is None or not failed.isEmpty():
         sets = rows if failed is None else rows.join(failed.select("range", "n_doc").distinct(), ["range", "n_doc"], "left_semi")
         signed = F.array(*(F.struct(F.lit(pair).alias("pair"), F.lit(sign).cast("long").alias("n"), F.col(keys).alias("keys")) for pair, sign, keys in ((0, 1, "keys"), (1, 1, "keys"), (0, -1, "edited_keys"), (1, -1, "next_keys"))))
-        units = sets.repartition("range").select("range", "n_doc", F.explode(signed).alias("set")).select("range", "n_doc", "set.pair", "set.n", F.explode("set.keys").alias("x"))
+        units = sets.repartition(tasks, "range").select("range", "n_doc", F.explode(signed).alias("set")).select("range", "n_doc", "set.pair", "set.n", F.explode("set.keys").alias("x"))
         units = units.withColumn("part", _group(F.col("x"), max(0, tries - 1)))
         if failed is not None:
             units = units.join(failed, by, "left_semi").withColumn("part", _group(F.col("x"), tries))
