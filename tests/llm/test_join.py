@@ -107,3 +107,22 @@ def test_components(spark):
         up[max(p, q)] = min(p, q)
     got = {r.node: r.root for r in components(spark.createDataFrame(edges, "a bigint, b bigint")).collect()}
     assert got == {x: top(x) for a, b in edges if a != b for x in (a, b)}
+
+
+@pytest.mark.parametrize("percent", [80, 85])
+@pytest.mark.parametrize("n", range(1, 16))
+def test_nested_small_sets_share_a_signature(n, percent):
+    for seed in range(40):
+        larger = np.unique(np.random.default_rng(seed).integers(0, 1 << 63, n + 1, dtype=np.uint64))
+        shared = set(ngram_join.signatures(larger, percent)) & set(ngram_join.signatures(larger[1:], percent))
+        assert shared or 100 * n < percent * (n + 1)
+
+
+@pytest.mark.parametrize("size,percent", [(4, 85), (5, 80)])
+def test_short_texts_and_one_word_more(spark, size, percent):
+    rows = []
+    for n in range(1, 20):
+        words = [f"t{n}w{i}" for i in range(n + 1)]
+        rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:-1])), (len(rows) + 2, " ".join(words[1:]))]
+    got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), size=size, percent=percent)
+    assert sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in got.collect()) == brute(rows, size, percent)

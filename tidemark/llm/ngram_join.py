@@ -94,7 +94,8 @@ def shingles(run: Run, size: int) -> Iterator[tuple[int, np.ndarray]]:
 @cache
 def domain(band: int, percent: int) -> tuple[int, int, int]:
     """(parts, spare ones among them, sub-parts of each) of a size band."""
-    k = most_differing(2 * (_bands[band + 1] - 1), percent)
+    both = 2 * (_bands[band + 1] - 1)
+    k = max(most_differing(both, percent), most_differing(both - 1, percent))  # grows by steps of two, so the largest is among the last even and odd totals
     if k == 0:
         return 1, 0, 1
     needed, least, spare = k // 2 + 1, percent * _bands[band] / 100, 0
