@@ -150,6 +150,39 @@ def test_leaks(spark, odd, none):
     assert decontaminate.clean(odd, bench).columns == odd.columns
 
 
+def brute_short_leaks(docs, items):
+    """(doc_id, item_id) of texts that have fewer words than an item and a similarity of 0.8 with it."""
+    out = set()
+    for d, text in docs:
+        for k, item in items:
+            w, v = words(text), words(item)
+            c, g = (Counter(tuple(x[i : i + min(5, len(v))]) for i in range(len(x) - min(5, len(v)) + 1)) for x in (w, v))
+            shared = sum((c & g).values())
+            if len(w) < len(v) and shared and shared >= 0.8 * (sum(c.values()) + sum(g.values()) - shared):
+                out.add((d, k))
+    return out
+
+
+def test_texts_shorter_than_an_item(spark):
+    rng = random.Random(9)
+    items = [(k, " ".join(f"w{rng.randrange(70)}" for _ in range(n))) for k, n in enumerate([2, 4, 5, 6, 9, 10, 14, 30, 55, 55])]
+    texts = []
+    for _, item in items:
+        w = item.split()
+        texts += [w[:n] for n in range(len(w))] + [w[n:] for n in range(len(w))]
+        texts += [w[:n] + w[n + 1 :] for n in range(len(w))] + [w[: n - 2] + ["changed"] + w[n:-1] for n in range(2, len(w))]
+    docs = [(d, " ".join(w)) for d, w in enumerate(texts)] + [(-1, "a " * 70), (-2, None)]
+    items += [(k, "a " * n) for k, n in ((20, 75), (21, 95))] + [(22, None), (23, "")]
+    index = decontaminate.Index([i for i in items if i[1]])
+    found = {(d, f[0]): f for d, text in docs for run in decontaminate.word_runs(pa.array([text], pa.string()), fold=True) for f in index.search(run.hashes)}
+    sizes = dict((d, len(words(text))) for d, text in docs)
+    want = brute_leaks(docs, items) | brute_short_leaks(docs, items)
+    assert set(found) == want and len(brute_short_leaks(docs, items)) > 100
+    assert all(f[2:] == (0, sizes[d]) for (d, k), f in found.items() if sizes[d] < len(words(dict(items)[k])))
+    few = [(d, text) for d, text in docs if d % 7 == 0 or d < 0]
+    assert {r.doc_id for r in decontaminate.clean(spark.createDataFrame(few, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()} == {d for d, _ in few} - {d for d, _ in want}
+
+
 def paragraphs(text):
     return {p.strip(" ") for p in re.split(r"(?<=[.!?])[ \t\n\x0b\f\r]+|[\r\n]+", text) if p.strip(" ")}
 
