@@ -38,6 +38,28 @@ def test_phrases_are_longest_matches(text, sample):
         assert round(found["phrases"] * len(text)) == want
 
 
+@pytest.mark.parametrize("alphabet", [0, 3, 124])
+def test_every_letter_of_the_samples_counts(monkeypatch, alphabet):
+    monkeypatch.setattr(language, "ALPHABET", alphabet)
+    rng = random.Random(alphabet)
+    scripts = {"han": (0x4E00, 2000), "hangul": (0xAC00, 900), "greek": (0x3B1, 17), "latin": (97, 26), "gothic": (0x10330, 17)}
+    samples, tries = {}, []
+    for lang, (first, letters) in scripts.items():
+        lexicon = ["".join(chr(first + rng.randrange(letters)) for _ in range(rng.randrange(2, 6))) for _ in range(300)]
+        samples[lang] = [" ".join(rng.choices(lexicon, k=400))]
+        tries += [(lang, " ".join(rng.choices(lexicon, k=20))) for _ in range(5)]
+    tries += [(None, " ".join(x.split()[0] for _, x in rng.sample(tries, 6))) for _ in range(20)] + [(None, "\u4dff\u3400 \u4e00\u4e00a")]
+    parser = language.Parser(samples)
+    for lang, text in tries:
+        text = text[: language.SEGMENT - 1]
+        found = parser.judge([text])[0]
+        counts = {k: phrases(text, sample[0]) for k, sample in samples.items()}
+        best = min(sorted(counts), key=counts.get)
+        assert (found["lang"], round(found["phrases"] * len(text))) == (best, counts[best])
+        assert lang in (None, best)
+        assert lang is None or found["phrases"] < language.MOST_PHRASES
+
+
 def test_held_out_accuracy(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet")
     known = {r.doc_id: r.lang for r in docs.select("doc_id", "lang").collect()}

@@ -5,8 +5,9 @@ its text. A document is parsed against each automaton into longest matches: the
 language whose text needs the fewest phrases per letter wins. The score is
 1 - best / second best phrases (0: a tie, near 1: no doubt).
 
-The automata are laid out as one table, state x letter, and texts run through
-it side by side in segments of ``SEGMENT`` characters (each segment starts a
+The automata are laid out as one table, state x letter, for the most frequent
+letters, and as sorted transitions for the others; texts run through them side by
+side in segments of ``SEGMENT`` characters (each segment starts a
 phrase anew, which adds the same few phrases for every language), so every
 character of every text is parsed, in bounded memory.
 
@@ -36,7 +37,7 @@ SAMPLE_DOCS = 64
 SAMPLE_LETTERS = 12_000
 #: The same for all languages together.
 SAMPLE_LETTERS_ALL = 400_000
-#: Distinct letters that automata tell apart; rarer ones match nothing.
+#: Distinct letters that have a column in the table; rarer ones are looked up among sorted transitions.
 ALPHABET = 124
 #: Characters parsed as one run.
 SEGMENT = 256
@@ -66,8 +67,8 @@ def _cleaned(text: str, codes: np.ndarray) -> np.ndarray:
     return out[keep]
 
 
-def _automaton(text: list[int], letters: int) -> np.ndarray:
-    """Transitions (state x letter, -1 for none) of the text's suffix automaton."""
+def _automaton(text: list[int], letters: int) -> tuple[np.ndarray, np.ndarray]:
+    """Transitions of the text's suffix automaton: state x letter (-1 for none), and rows (state, letter, to) for letters beyond these."""
     go, link, length, last = [{}], [-1], [0], 0
     for c in text:
         new = len(go)
@@ -92,18 +93,22 @@ def _automaton(text: list[int], letters: int) -> np.ndarray:
             else:
                 link[new] = to
         last = new
-    table = np.full((len(go), letters), -1, np.int32)
+    table, others = np.full((len(go), letters), -1, np.int32), []
     for state, edges in enumerate(go):
         for c, to in edges.items():
-            table[state, c] = to
-    return table
+            if c < letters:
+                table[state, c] = to
+            else:
+                others.append((state, c, to))
+    return table, np.array(others, np.int64).reshape(-1, 3)
 
 
 class Parser:
     """Automata of several languages in one table.
 
     Codes: 0 anything but a letter, 1 a letter that no sample has, then the
-    letters, last the padding, which changes nothing. State 0: no match.
+    ALPHABET most frequent letters, the padding, which changes nothing, and the
+    other letters, which have no column. State 0: no match.
     """
 
     def __init__(self, samples: dict[str, list[str]]):
@@ -111,18 +116,21 @@ class Parser:
         letter = _is_letter()
         share = min(SAMPLE_LETTERS, SAMPLE_LETTERS_ALL // max(1, len(samples)))
         counts = Counter(c for texts in samples.values() for t in texts for c in t.lower() if letter[ord(c)])
-        self.codes = letter.astype(np.uint8)
-        known = sorted(c for c, _ in counts.most_common(ALPHABET))
-        for i, c in enumerate(known):
-            self.codes[ord(c)] = i + 2
+        ranked = [c for c, _ in counts.most_common()]
+        known, others = sorted(ranked[:ALPHABET]), sorted(ranked[ALPHABET:])
         self.pad = len(known) + 2
         width = self.pad + 1
-        tables, starts, at = [np.zeros((1, width), np.int32)], [], 1
+        self.codes = letter.astype(np.min_scalar_type(self.pad + len(others)))
+        for i, c in enumerate([*known, "", *others]):
+            if c:
+                self.codes[ord(c)] = i + 2
+        tables, starts, at, rare = [np.zeros((1, width), np.int32)], [], 1, []
         for lang in self.langs:
             texts = [_cleaned(t, self.codes) for t in samples[lang]]
             each = max(64, share // max(1, len(texts)))
             pieces = [t[:each].tolist() for t in texts]
-            table = _automaton([c for p in pieces for c in p][:share], width)
+            table, far = _automaton([c for p in pieces for c in p][:share], width)
+            rare.append(far + [at, 0, at])
             table = np.where(table >= 0, table + at, 0).astype(np.int32)
             alone = np.zeros((1, width), np.int32)  # after a letter that nothing matches
             table = np.concatenate([table, alone])
@@ -135,6 +143,19 @@ class Parser:
         #: Of each language the state after a phrase of one unmatched letter, and before the first phrase.
         self.alone = np.array([*starts[1:], at][: len(starts)], np.int32) - 1
         self.restart = np.where(first > 0, first, self.alone[:, None]).astype(np.int32)
+        self.starts = np.array(starts, np.int64)
+        #: Transitions by letters without a column, sorted by state and letter.
+        self.span = self.pad + len(others) + 1
+        far = np.concatenate([np.zeros((0, 3), np.int64), *rare])
+        keys = far[:, 0] * self.span + far[:, 1]
+        order = np.argsort(keys)
+        self.far, self.far_to = keys[order], far[order, 2].astype(np.int32)
+
+    def _beyond(self, states: np.ndarray, codes: np.ndarray) -> np.ndarray:
+        """States reached by letters without a column, 0 for none."""
+        wanted = states.astype(np.int64) * self.span + codes
+        at = np.minimum(np.searchsorted(self.far, wanted), len(self.far) - 1)
+        return np.where(self.far[at] == wanted, self.far_to[at], 0)
 
     def phrases(self, segments: np.ndarray) -> np.ndarray:
         """Phrases of each language (row) in each segment (column); segments: segment x position."""
@@ -143,15 +164,25 @@ class Parser:
         base = (np.arange(langs, dtype=np.int32) * width)[:, None]
         state = np.repeat(self.alone[:, None], n, axis=1)
         count = np.zeros((langs, n), np.int32)
-        for c in columns:
+        for letters in columns:
+            c, rare = letters, np.flatnonzero(letters > self.pad)
+            if len(rare):
+                c = np.where(letters > self.pad, 1, letters)  # a column without transitions
+                codes = letters[rare].astype(np.int64)
+                reached = self._beyond(state[:, rare], codes) if len(self.far) else 0
             state *= width
             state += c
             state = flat.take(state)
+            if len(rare):
+                state[:, rare] = reached
             miss = state == 0
             count += miss
             at = np.flatnonzero(miss)
             if len(at):
                 state.ravel()[at] = restart.take((base + c).ravel()[at])
+            if len(rare) and len(self.far):
+                first = self._beyond(self.starts[:, None], codes)
+                state[:, rare] = np.where(miss[:, rare] & (first > 0), first, state[:, rare])
         return count
 
     def judge(self, texts: list[str | None]) -> list[dict]:
@@ -173,7 +204,7 @@ class Parser:
     def _parse(self, waiting: list[tuple[int, np.ndarray]], out: list[dict]) -> None:
         sizes = np.array([-(-len(codes) // SEGMENT) for _, codes in waiting])
         ends = np.cumsum(sizes)
-        room = np.full(int(ends[-1]) * SEGMENT, self.pad, np.uint8)
+        room = np.full(int(ends[-1]) * SEGMENT, self.pad, self.codes.dtype)
         for (_, codes), end, size in zip(waiting, ends, sizes, strict=True):
             room[(end - size) * SEGMENT : (end - size) * SEGMENT + len(codes)] = codes
         found = np.concatenate([self.phrases(x) for x in np.array_split(room.reshape(-1, SEGMENT), max(1, int(ends[-1]) // TOGETHER))], axis=1)
