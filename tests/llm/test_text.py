@@ -69,6 +69,16 @@ def test_held_out_accuracy(spark):
     assert sum(r.lang_pred == known[r.doc_id] for r in tried) > 0.97 * len(tried)
 
 
+def test_sample_is_bounded_where_ids_repeat(spark, monkeypatch):
+    monkeypatch.setattr(language, "SAMPLE_DOCS", 3)
+    monkeypatch.setattr(language, "Parser", lambda samples: samples)
+    free = [i for i in range(50) if zlib.crc32(str(i).encode()) % 5]
+    rows = [(free[0], f"text {k}", "en") for k in range(40)] + [(free[1], "same", "de")] * 40 + [(free[0], "mot", "fr"), (free[1], "mots", "fr")]
+    got = language.fit(spark.createDataFrame(rows, "doc_id bigint, text string, lang string").repartition(3))
+    assert {k: len(v) for k, v in got.items()} == {"en": 3, "de": 3, "fr": 2}
+    assert len(set(got["en"])) == 3 and set(got["de"]) == {"same"} and sorted(got["fr"]) == ["mot", "mots"]
+
+
 def test_language_of_odd_rows(spark, odd, none):
     parser = language.fit(odd)
     got = language.identify(odd, parser).collect()

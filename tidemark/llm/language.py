@@ -225,13 +225,15 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, seed: int = 7) -> Parser:
     """Build the automata from at most SAMPLE_DOCS labelled rows a language."""
-    labelled = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull() & ~held_out(F.col("doc_id"))).select("doc_id", "lang", F.xxhash64(F.lit(seed), "doc_id").alias("order"))
-    chosen = labelled.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id"))).filter(F.col("k") <= SAMPLE_DOCS)
-    wanted = chosen.select("doc_id").distinct()
-    rows = docs.select("doc_id", "lang", F.substring("text", 1, SAMPLE_LETTERS).alias("text")).filter("lang is not null and text is not null").join(F.broadcast(wanted), "doc_id", "left_semi").collect()
+    key, text = ["doc_id", "lang", "hash"], F.substring("text", 1, SAMPLE_LETTERS)
+    rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", text.alias("text")).withColumn("hash", F.xxhash64("text"))
+    labelled = rows.filter(~held_out(F.col("doc_id"))).select(*key, F.xxhash64(F.lit(seed), "doc_id").alias("order"))
+    chosen = labelled.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "hash"))).filter(F.col("k") <= SAMPLE_DOCS)
+    chosen = chosen.groupBy(key).agg(F.count("*").alias("times"))  # equal rows are sent once
+    found = rows.join(F.broadcast(chosen), key).groupBy(key).agg(F.first("text").alias("text"), F.first("times").alias("times")).collect()
     samples: dict[str, list[str]] = {}
-    for row in sorted(rows, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
-        samples.setdefault(row["lang"], []).append(row["text"])
+    for row in sorted(found, key=lambda r: (r["lang"], r["doc_id"], r["text"])):
+        samples.setdefault(row["lang"], []).extend([row["text"]] * row["times"])
     return Parser(samples)
 
 
