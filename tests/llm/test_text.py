@@ -215,6 +215,19 @@ def test_texts_shorter_than_an_item(spark):
     assert {r.doc_id for r in decontaminate.clean(spark.createDataFrame(few, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()} == {d for d, _ in few} - {d for d, _ in want}
 
 
+def test_one_index_at_a_time(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "ITEMS_TOGETHER", 2)
+    events, made, spread = [], decontaminate.Index.__init__, decontaminate.checkpointed
+    monkeypatch.setattr(decontaminate.Index, "__init__", lambda self, items: events.append(len(items)) or made(self, items))
+    monkeypatch.setattr(decontaminate, "checkpointed", lambda df: events.append("kept") or spread(df))
+    items = [(k, f"item {k} has some words of its own {k}") for k in range(5)]
+    docs = [(k, t) for k, t in items] + [(9, "clean text"), (9, None), (9, "clean text")]
+    frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string").coalesce(1)
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()) == [(k, k) for k in range(5)]
+    assert sorted(str(r.text) for r in decontaminate.clean(frame, bench).collect()) == ["None", "clean text", "clean text"]
+    assert events == [2, "kept", 2, "kept", 1, "kept"] * 2
+
+
 def paragraphs(text):
     return {p.strip(" ") for p in re.split(r"(?<=[.!?])[ \t\n\x0b\f\r]+|[\r\n]+", text) if p.strip(" ")}
 

@@ -22,8 +22,9 @@ At a similarity of 0.8 about 10 bits of 64 are expected to differ, 19 are three
 standard deviations off. Items shorter than a shingle are one shingle of all
 their words and match exactly.
 
-The item index is what tasks share: its size follows the benchmark, not the
-corpus. Benchmarks beyond ``ITEMS_TOGETHER`` items are looked up in turns.
+The item index is what tasks share. Benchmarks beyond ``ITEMS_TOGETHER`` items
+are looked up in turns: each turn's findings are kept as Parquet before the next
+turn's items are read, so driver and tasks hold one index at a time.
 
 Null or empty texts and items match nothing. Repeated rows are judged each.
 Ties: the first window. Empty tables: empty result. Extra columns are ignored.
@@ -33,7 +34,7 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass
-from itertools import combinations
+from itertools import combinations, islice
 
 import numpy as np
 import pyarrow as pa
@@ -41,6 +42,7 @@ from pyspark import Broadcast
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from tidemark.llm.common import checkpointed
 from tidemark.llm.wordhash import Run, mix, word_runs
 
 SHINGLE = 5
@@ -200,15 +202,14 @@ def _texts(run: Run) -> Iterator[tuple[int, np.ndarray]]:
         yield run.first + k, run.hashes[run.upto[k] : run.upto[k + 1]]
 
 
-def _indices(benchmark: DataFrame) -> list[Index]:
-    """The benchmark as indices of ITEMS_TOGETHER items; it is small beside the corpus and read by every task."""
-    rows = benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null").toLocalIterator()
-    out, held = [], []
-    for row in rows:
-        held.append((row[0], row[1]))
-        if len(held) == ITEMS_TOGETHER:
-            out, held = [*out, Index(held)], []
-    return [*out, Index(held)] if held else out
+def _turns(benchmark: DataFrame) -> Iterator[tuple[Index, bool]]:
+    """Indices of ITEMS_TOGETHER items, one after the other, and whether it is the only one."""
+    rows = ((row[0], row[1]) for row in benchmark.select(F.col("item_id").cast("long"), "text").filter("text is not null").toLocalIterator())
+    held, turns = list(islice(rows, ITEMS_TOGETHER)), 0
+    while held:
+        ahead = list(islice(rows, 1))
+        yield Index(held), not turns and not ahead
+        held, turns = [*ahead, *islice(rows, ITEMS_TOGETHER - 1)] if ahead else [], turns + 1
 
 
 def _candidates(index: Index, run: Run) -> np.ndarray:
@@ -224,8 +225,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """A row for each text and item that it holds: doc_id, item_id, similarity, start, words."""
     sc = docs.sparkSession.sparkContext
     out = None
-    for index in _indices(benchmark):
+    for index, alone in _turns(benchmark):
         shared = sc.broadcast(index)
+        del index
 
         def work(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in batches:
@@ -236,6 +238,9 @@ def leaks(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array([r[k] for r in rows], pa.float64() if k == 2 else pa.int64()) for k in range(5)], ["doc_id", "item_id", "similarity", "start", "words"])
 
         found = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(work, LEAKS)
+        if not alone:
+            found = checkpointed(found)
+            shared.destroy()
         out = found if out is None else out.unionAll(found)
     return docs.sparkSession.createDataFrame([], LEAKS) if out is None else out
 
@@ -257,10 +262,17 @@ def _leaking(shared: Broadcast) -> Callable:
 
 def clean(docs: DataFrame, benchmark: DataFrame) -> DataFrame:
     """The documents that hold no item, columns unchanged."""
-    sc = docs.sparkSession.sparkContext
-    for index in _indices(benchmark):
-        docs = docs.filter(~_leaking(sc.broadcast(index))(F.col("text")))
-    return docs
+    sc, key, found = docs.sparkSession.sparkContext, [F.xxhash64("text").alias("__x"), F.xxhash64(F.lit(1), "text").alias("__y")], None
+    for index, alone in _turns(benchmark):
+        shared = sc.broadcast(index)
+        del index
+        leaking = _leaking(shared)(F.col("text"))
+        if alone:
+            return docs.filter(~leaking)
+        texts = checkpointed(docs.select("text").filter(leaking).select(*key).distinct())
+        shared.destroy()
+        found = texts if found is None else found.unionAll(texts)
+    return docs if found is None else docs.select("*", *key).join(found.distinct(), ["__x", "__y"], "left_anti").select(*docs.columns)
 
 
 def op9_decontaminate(spark, sf_dir):
