@@ -73,5 +73,5 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     return docs
 
 
-#: Language ID by automata and hashed sketches aren't SQL; tests hold run() against a brute-force version.
+#: Language ID by automata and hashed sketches aren't SQL; the stages' modules have tests of their own, run() as a whole has none.
 ORACLE_SQL = None
