@@ -6,17 +6,21 @@ of cells; a cell keeps the count, the xor of its digests and the xor of their
 checks. Two sketches subtract cell by cell, digests in both cancel, and peeling
 recovers the rest: a cell that holds one digest, as its check confirms, gives it
 up to be taken out of its other cells, until nothing is left. If something is
-left, the pair is tried again on eight times the cells, under another seed: the
-digests are split into eight sketches, and only those that fail again go on.
+left, the pair is tried again on more cells under another seed: its digests are
+dealt into as many sketches as the sets ask for, at most ``SPLIT``, and only
+those that fail again are dealt on, up to ``TRIES`` times.
 
 Likeness is shared over joint digests, from the number recovered.
 
-The next document is found inside ranges of ids, whose ends meet through a small
-table of each range's first document, so texts cross the network once.
+All of this happens inside a document's row; no cell crosses the network. Texts
+do once: the next document is found inside ranges of ids, and the last document
+of a range takes the first text of the next range by a join of one row a range.
 
 Null texts count as empty; two empty sets have likeness 1. Null ids come last;
-repeated ids follow each other in the order of their text hashes. A single
-document follows itself. Empty table: empty result. Extra columns are ignored.
+repeated ids follow each other in the order of their text hashes, in ranges of
+hashes, so many rows of one id are split; only rows equal in id and text stay in
+one range. A single document follows itself. Empty table: empty result. Extra
+columns are ignored.
 """
 
 from __future__ import annotations
@@ -28,12 +32,19 @@ from tidemark.llm.common import checkpointed
 
 #: Cells of each of a sketch's three rows.
 ROW = 11
-#: Sketches that a failed one is split into.
+#: Most sketches that a failed one is split into.
 SPLIT = 8
+#: Digests of both sets, on average, that a sketch of a retry gets.
+PART = 12
 #: Peeling rounds; each takes out all digests that stand alone in a row of cells.
-ROUNDS = 12
-#: Documents of a range of ids.
+ROUNDS = 9
+#: Retries; digests still open then are compared themselves.
+TRIES = 24
+#: Documents of a range of ids, more if there would be over MOST_RANGES ranges.
 RANGE_DOCS = 2000
+MOST_RANGES = 1_000_000
+#: Quantiles of the ids that ranges are laid between.
+QUANTILES = 128
 #: What ends a paragraph.
 PARAGRAPH_END = r"(?<=[.!?])\s+|[\r\n]+"
 
@@ -48,98 +59,142 @@ def _check(x: Column) -> Column:
     return F.xxhash64(x, F.lit("check"))
 
 
-def _cell_of(n: Column, x: Column, c: Column) -> Column:
+def _cell(n: Column, x: Column, c: Column) -> Column:
     return F.struct(n.cast("int").alias("n"), x.alias("x"), c.alias("c"))
 
 
+def _cells_of(x: Column, seed: Column) -> Column:
+    """The three cells of a digest, one a row, as bits of a number."""
+    bits = F.lit(0).cast("long")
+    for r in range(3):
+        at = F.pmod(F.xxhash64(x, seed * 3 + r), F.lit(ROW)).cast("int") + r * ROW
+        bits = bits.bitwiseOR(F.call_function("shiftleft", F.lit(1).cast("long"), at))
+    return bits
+
+
+def _let(value: Column, use) -> Column:
+    """``use(value)`` with the value computed once."""
+    return F.transform(F.array(value), use)[0]
+
+
+def _summed(cell: Column, digests_: Column, i: Column) -> Column:
+    """A cell with the digests that fall into it: structs of n, x, c and the bits of their cells."""
+    mine = F.filter(digests_, lambda u: F.getbit(u["at"], i) == 1)
+    return F.aggregate(mine, cell, lambda s, u: _cell(s["n"] + u["n"], s["x"].bitwiseXOR(u["x"]), s["c"].bitwiseXOR(u["c"])))
+
+
+def _counted(keys: Column, seed: Column, sign: int) -> Column:
+    return F.transform(keys, lambda x: F.struct(F.lit(sign).alias("n"), x.alias("x"), _check(x).alias("c"), _cells_of(x, seed).alias("at")))
+
+
+def _sketched(counted: Column) -> Column:
+    zero = _cell(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+    return _let(counted, lambda us: F.transform(F.sequence(F.lit(0), F.lit(3 * ROW - 1)), lambda i: _summed(zero, us, i)))
+
+
 def sketch(keys: Column) -> Column:
     """The cells of an array of digests, row by row, as the fingerprint shows them."""
-    zero = _cell_of(F.lit(0), F.lit(0).cast("long"), F.lit(0).cast("long"))
+    return _sketched(_counted(keys, F.lit(0), 1))
 
-    def row(r: int) -> Column:
-        placed = F.transform(keys, lambda x: F.struct(_place(x, r, F.lit(0)).alias("at"), x.alias("x"), _check(x).alias("c")))
-        return F.transform(F.sequence(F.lit(0), F.lit(ROW - 1)), lambda i: F.aggregate(F.filter(placed, lambda u: u["at"] == i), zero, lambda s, u: _cell_of(s["n"] + 1, s["x"].bitwiseXOR(u["x"]), s["c"].bitwiseXOR(u["c"]))))
 
-    return F.concat(*(row(r) for r in range(3)))
+def subtracted(a: Column, b: Column) -> Column:
+    """Sketch a less sketch b."""
+    return F.zip_with(a, b, lambda p, q: _cell(p["n"] - q["n"], p["x"].bitwiseXOR(q["x"]), p["c"].bitwiseXOR(q["c"])))
 
 
-def _peeled(cells: DataFrame, by: list[str]) -> DataFrame:
-    """Cells after ROUNDS rounds of peeling, and under row 3 how many digests came out.
+def peeled(cells: Column, seed: Column) -> Column:
+    """Digests that peeling recovers from a difference of sketches; null if something is left.
 
     A round looks at one row of cells: there each digest has one cell, so none
     is taken out twice.
     """
-    held = "n <> 0 or x <> 0 or c <> 0"
-    for k in range(ROUNDS):
-        row = k % 3
-        pure = (F.col("row") == row) & (F.abs("n") == 1) & (_check(F.col("x")) == F.col("c"))
-        out = [F.struct(F.lit(r).alias("row"), _place(F.col("x"), r, F.col("seed")).alias("cell"), (-F.col("n")).alias("n"), "x", "c") for r in range(3) if r != row]
-        count = F.struct(F.lit(3).alias("row"), F.lit(0).alias("cell"), F.lit(1).cast("long").alias("n"), F.lit(0).cast("long").alias("x"), F.lit(0).cast("long").alias("c"))
-        same = F.struct("row", "cell", "n", "x", "c")
-        moved = cells.select(*by, "seed", F.explode(F.when(pure, F.array(*out, count)).otherwise(F.array(same))).alias("to")).select(*by, "seed", "to.*")
-        cells = moved.groupBy(*by, "seed", "row", "cell").agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).filter(held)
-    return cells
 
+    def round_(s: Column, k: Column) -> Column:
+        cells = F.slice(s["cells"], k % 3 * ROW + 1, F.lit(ROW))
+        pure = F.filter(cells, lambda c: (F.abs(c["n"]) == 1) & (_check(c["x"]) == c["c"]))
+        alone = F.transform(pure, lambda c: F.struct((-c["n"]).alias("n"), c["x"].alias("x"), c["c"].alias("c"), _cells_of(c["x"], seed).alias("at")))
+        touched = lambda us: F.aggregate(us, F.lit(0).cast("long"), lambda bits, u: bits.bitwiseOR(u["at"]))
+        less = lambda us: _let(touched(us), lambda bits: F.transform(s["cells"], lambda c, i: F.when(F.getbit(bits, i) == 0, c).otherwise(_summed(c, us, i))))
+        taken = lambda us: F.struct(less(us).alias("cells"), (s["out"] + F.size(us)).alias("out"))
+        return _let(alone, lambda us: F.when(F.size(us) == 0, s).otherwise(taken(us)))
+
+    start = F.struct(cells.alias("cells"), F.lit(0).alias("out"))
+    end = F.aggregate(F.sequence(F.lit(0), F.lit(ROUNDS - 1)), start, round_)
+    empty = lambda c: (c["n"] == 0) & (c["x"] == 0) & (c["c"] == 0)
+    return _let(end, lambda s: F.when(F.forall(s["cells"], empty), s["out"]))
+
+
+def differing(a: Column, b: Column, a_cells: Column, b_cells: Column) -> Column:
+    """How many digests two sets don't share, from their sketches and, where these fail, larger ones."""
 
-def _place(x: Column, row: int, seed: Column) -> Column:
-    return F.pmod(F.xxhash64(x, seed * 3 + row), F.lit(ROW)).cast("int")
+    def unit(left: Column, right: Column, differ: Column) -> Column:
+        return F.struct(left.alias("a"), right.alias("b"), differ.cast("int").alias("differ"))
 
+    def split(u: Column, t: Column) -> Column:
+        parts = F.least(F.lit(SPLIT), F.greatest(F.lit(2), F.ceil((F.size(u["a"]) + F.size(u["b"])) / PART).cast("int")))
+        mine = lambda keys, p, of: F.filter(keys, lambda x: F.pmod(F.xxhash64(x, -t), of) == p)
+        dealt = _let(parts, lambda of: F.transform(F.sequence(F.lit(0), of - 1), lambda p: F.struct(mine(u["a"], p, of).alias("a"), mine(u["b"], p, of).alias("b"))))
+        # One set counted up and the other down in the same cells: the difference of their sketches.
+        both = lambda v: F.concat(_counted(v["a"], t, 1), _counted(v["b"], t, -1))
+        return F.transform(dealt, lambda v: unit(v["a"], v["b"], peeled(_sketched(both(v)), t)))
 
-def _group(x: Column, tries: int) -> Column:
-    """The part that a digest is in after so many splits."""
-    at = F.lit(0).cast("long")
-    for seed in range(tries):
-        at = at * SPLIT + F.pmod(F.xxhash64(x, F.lit(-1 - seed)), F.lit(SPLIT))
-    return at
+    def again(units: Column, t: Column) -> Column:
+        dealt = F.flatten(F.transform(units, lambda u: F.when(u["differ"].isNotNull(), F.array(u)).otherwise(split(u, t))))
+        return F.when(F.forall(units, lambda u: u["differ"].isNotNull()), units).otherwise(dealt)
 
+    first = F.array(unit(a, b, peeled(subtracted(a_cells, b_cells), F.lit(0))))
+    units = F.aggregate(F.sequence(F.lit(1), F.lit(TRIES)), first, again)
+    plain = lambda u: F.size(F.array_except(u["a"], u["b"])) + F.size(F.array_except(u["b"], u["a"]))
+    return F.aggregate(units, F.lit(0), lambda s, u: s + F.coalesce(u["differ"], plain(u)))
 
-def differences(rows: DataFrame) -> DataFrame:
-    """range, n, pair, differ: digests in one set only, for pairs 0 (keys, edited_keys) and 1 (keys, next_keys).
 
-    Cells are rows here: digests are hashed to cells and cells summed, with the
-    second set counted down, which subtracts the sketches. Everything of a range
-    stays in the task that the range was sent to.
+def _range(docs: DataFrame, total: int) -> Column:
+    """A number for each document's range; ranges follow each other by descending id, null last, then text hash.
+
+    Ids are cut at no more than QUANTILES values, evenly in between. An id that
+    spans two quantiles, and the null id, are cut by text hash.
     """
-    by = ["range", "n_doc", "pair", "part"]
-    tasks = 2 * -(-rows.count() // RANGE_DOCS) + 1  # a number given isn't lowered to fit what was sent: sets grow into cells
-    tries, done, failed = 0, [], None
-    while failed is None or not failed.isEmpty():
-        sets = rows if failed is None else rows.join(failed.select("range", "n_doc").distinct(), ["range", "n_doc"], "left_semi")
-        signed = F.array(*(F.struct(F.lit(pair).alias("pair"), F.lit(sign).cast("long").alias("n"), F.col(keys).alias("keys")) for pair, sign, keys in ((0, 1, "keys"), (1, 1, "keys"), (0, -1, "edited_keys"), (1, -1, "next_keys"))))
-        units = sets.repartition(tasks, "range").select("range", "n_doc", F.explode(signed).alias("set")).select("range", "n_doc", "set.pair", "set.n", F.explode("set.keys").alias("x"))
-        units = units.withColumn("part", _group(F.col("x"), max(0, tries - 1)))
-        if failed is not None:
-            units = units.join(failed, by, "left_semi").withColumn("part", _group(F.col("x"), tries))
-        seed = F.lit(tries)
-        cells = units.withColumn("seed", seed).withColumn("c", _check(F.col("x"))).select(*by, "seed", "n", "x", "c", F.explode(F.array(*(F.struct(F.lit(r).alias("row"), _place(F.col("x"), r, F.col("seed")).alias("cell")) for r in range(3)))).alias("to"))
-        cells = cells.groupBy(*by, "seed", F.col("to.row").alias("row"), F.col("to.cell").alias("cell")).agg(F.sum("n").alias("n"), F.bit_xor("x").alias("x"), F.bit_xor("c").alias("c")).filter("n <> 0 or x <> 0 or c <> 0")
-        state = _peeled(cells, by).groupBy(*by).agg(F.sum(F.when(F.col("row") == 3, F.col("n")).otherwise(0)).alias("differ"), F.max("row").alias("most"), F.min("row").alias("least"))
-        state = checkpointed(state)
-        done.append(state.filter("least = 3").select("range", "n_doc", "pair", "differ"))
-        failed = state.filter("least < 3").select(*by)
-        tries += 1
-    out = done[0]
-    for more in done[1:]:
-        out = out.unionAll(more)
-    return out.groupBy("range", "n_doc").agg(*(F.sum(F.when(F.col("pair") == k, F.col("differ")).otherwise(0)).alias(f"differ{k}") for k in (0, 1)))
-
-
-def following(docs: DataFrame) -> DataFrame:
-    """Every document with the text and digests of the next by descending id: doc_id, n, text, keys, next."""
+    ranges = -(-total // max(RANGE_DOCS, total // MOST_RANGES)) if total else 1
+    levels = min(QUANTILES, ranges)
+    found = docs.agg(F.percentile_approx("doc_id", [i / levels for i in range(levels + 1)], 10_000)).first()[0] or []
+    cuts, many = sorted(set(found), reverse=True), sorted({c for c in found if found.count(c) > 1 and ranges > 1})
+    slots = -(-ranges // levels)
+    by_hash = F.floor((F.col("tkey") / F.lit(2.0**64) + 0.5) * ranges).cast("long")
+    hot = F.col("doc_id").isNull() | (F.col("doc_id").isin(many) if many else F.lit(False))
+    level = F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0)
+    bounds = F.array(*(F.lit(float(c)) for c in cuts))
+    high, low = F.get(bounds, F.col("level") - 1), F.get(bounds, F.col("level"))
+    slot = F.when(F.col("level") == 0, 0).otherwise(F.least(F.lit(slots - 1), F.floor((high - F.col("doc_id")) / (high - low) * slots)))
+    at = F.when(F.col("doc_id").isNull(), F.lit((len(cuts) + 1) * slots)).otherwise(F.col("level") * slots + slot).cast("long")
+    return level, at * (ranges + 2) + F.when(hot, by_hash + 1).otherwise(0)
+
+
+def _edited(text: Column, following: Column) -> Column:
+    cut = F.floor(F.length(text) / 3).cast("int")
+    return F.concat(F.substring(text, F.lit(1), F.length(text) - cut), F.substring(following, F.lit(1), cut))
+
+
+def in_pairs(docs: DataFrame) -> DataFrame:
+    """Every document with its own digests, those of its edited text and of the next by descending id."""
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
-    total = docs.count()
-    cuts = docs.agg(F.percentile_approx("doc_id", [i / -(-total // RANGE_DOCS) for i in range(1, -(-total // RANGE_DOCS))] or [0.5], 10000)).first()[0] if total else []
-    cuts = sorted({c for c in cuts or [] if c is not None}, reverse=True)
-    place = F.when(F.col("doc_id").isNull(), len(cuts) + 1).otherwise(F.size(F.filter(F.array(*map(F.lit, cuts)).cast("array<bigint>"), lambda c: c > F.col("doc_id"))) if cuts else F.lit(0))
-    docs = docs.withColumn("range", place.cast("int")).withColumn("tkey", F.xxhash64("text")).withColumn("keys", digests(F.col("text")))
-    # Descending ids, null last, then ascending text hash: the least of a range in this order is its first.
-    rank = F.struct(F.col("doc_id").isNull().alias("z"), (-F.col("doc_id")).alias("i"), F.col("tkey").alias("t"))
-    firsts = docs.groupBy("range").agg(F.min(F.struct(rank.alias("rank"), "text", "keys")).alias("first")).select("range", F.struct("first.text", "first.keys").alias("first"))
-    in_order = Window.orderBy("range")
-    ends = firsts.select("range", F.coalesce(F.lead("first").over(in_order), F.first("first").over(in_order.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing))).alias("after"))
+    level, place = _range(docs, docs.count())
+    docs = docs.withColumn("tkey", F.xxhash64("text")).withColumn("level", level).withColumn("range", place).drop("level")
+    docs = docs.repartition("range").withColumn("keys", digests(F.col("text")))
     order = Window.partitionBy("range").orderBy(F.col("doc_id").desc_nulls_last(), "tkey")
     rows = docs.withColumn("n", F.row_number().over(order)).withColumn("next", F.lead(F.struct("text", "keys")).over(order))
-    return rows.join(ends, "range").select(F.struct("range", "n").alias("id"), "doc_id", "text", "keys", F.coalesce("next", "after").alias("next"))
+
+    def judged(text: str, following: str) -> list[Column]:
+        edited = _edited(F.col(text), F.col(following))
+        return [F.sha2(edited.cast("binary"), 256).alias("edited_sha256"), digests(edited).alias("edited_keys")]
+
+    last = F.col("next").isNull()
+    rows = checkpointed(rows.select("range", "doc_id", F.length("text").cast("long").alias("n_chars"), "keys", F.col("next.keys").alias("next_keys"), *(F.when(~last, c).alias(n) for c, n in zip(judged("text", "next.text"), ("edited_sha256", "edited_keys"), strict=True)), F.when(last | (F.col("n") == 1), F.col("text")).alias("text"), (F.col("n") == 1).alias("first"), last.alias("last")))
+    heads = rows.filter("first").select(F.col("range").alias("after"), F.col("text").alias("next_text"), F.col("keys").alias("next_keys"))
+    each = Window.orderBy("range")
+    ranges = rows.filter("last").select("range").withColumn("after", F.coalesce(F.lead("range").over(each), F.min("range").over(Window.partitionBy())))
+    ends = rows.filter("last").drop("next_keys").join(ranges, "range").join(heads, "after")
+    out = ["doc_id", "n_chars", "keys"]
+    return rows.filter("not last").select(*out, "next_keys", "edited_sha256", "edited_keys").unionAll(ends.select(*out, "next_keys", *judged("text", "next_text")))
 
 
 def as_text(cells: Column) -> Column:
@@ -147,20 +202,16 @@ def as_text(cells: Column) -> Column:
 
 
 def fingerprint_documents(docs: DataFrame) -> DataFrame:
-    n = F.length("text")
-    cut = F.floor(n / 3).cast("int")
-    edited = F.concat(F.substring(F.col("text"), F.lit(1), n - cut), F.substring(F.col("next.text"), F.lit(1), cut))
-    rows = following(docs).select("id", "doc_id", n.cast("long").alias("n_chars"), edited.alias("edited"), "keys", F.col("next.keys").alias("next_keys"))
-    rows = checkpointed(rows.select("id", "doc_id", "n_chars", F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"), "keys", digests(F.col("edited")).alias("edited_keys"), "next_keys"))
-    found = differences(rows.select("id.range", F.col("id.n").alias("n_doc"), "keys", "edited_keys", "next_keys"))
-
-    def likeness(other: str, differ: str) -> Column:
+    def likeness(other: str, differ: Column) -> Column:
         both = F.size("keys") + F.size(other)
-        apart = F.coalesce(F.col(differ), F.lit(0))  # nothing left after subtraction: no row
-        return F.when(both == 0, 1.0).otherwise((both - apart) / (both + apart))
-
-    found = found.select(F.struct("range", F.col("n_doc").alias("n")).alias("id"), "differ0", "differ1")
-    return rows.join(found, "id", "left").select("doc_id", "n_chars", "edited_sha256", as_text(sketch(F.col("keys"))).alias("fingerprint"), as_text(sketch(F.col("edited_keys"))).alias("edited_fingerprint"), likeness("edited_keys", "differ0").alias("near_edited"), likeness("next_keys", "differ1").alias("near_next"))
+        return _let(differ, lambda d: F.when(both == 0, 1.0).otherwise((both - d) / (both + d)))
+
+    rows = in_pairs(docs)
+    for name in ("keys", "edited_keys", "next_keys"):
+        rows = rows.withColumn(f"{name}_cells", sketch(F.col(name)))
+    differ = {name: differing(F.col("keys"), F.col(name), F.col("keys_cells"), F.col(f"{name}_cells")) for name in ("edited_keys", "next_keys")}
+    rows = rows.select("*", *(d.alias(f"{name}_differ") for name, d in differ.items()))
+    return rows.select("doc_id", "n_chars", "edited_sha256", as_text(F.col("keys_cells")).alias("fingerprint"), as_text(F.col("edited_keys_cells")).alias("edited_fingerprint"), *(likeness(name, F.col(f"{name}_differ")).alias(out) for name, out in (("edited_keys", "near_edited"), ("next_keys", "near_next"))))
 
 
 def op8_iblt_fingerprint(spark, sf_dir):
