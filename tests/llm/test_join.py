@@ -126,3 +126,10 @@ def test_short_texts_and_one_word_more(spark, size, percent):
         rows += [(len(rows), " ".join(words)), (len(rows) + 1, " ".join(words[:-1])), (len(rows) + 2, " ".join(words[1:]))]
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), size=size, percent=percent)
     assert sorted(repr((r.doc_id, r.n_shingles, r.component_id)) for r in got.collect()) == brute(rows, size, percent)
+
+
+def test_regular_patterns_share_nothing(spark):
+    bits = [bin(i).count("1") % 2 for i in range(1024)]
+    one, two = ("".join("ab"[b ^ flip] for b in bits) for flip in (0, 1))
+    docs = spark.createDataFrame([(1, " ".join([one] * 5)), (2, " ".join([two] * 5))], "doc_id bigint, text string")
+    assert sorted((r.doc_id, r.component_id) for r in ngram_join.ngram_join(docs, size=4, percent=85).collect()) == [(1, 1), (2, 2)]

@@ -103,3 +103,39 @@ def test_triple_names_are_names():
         names = triple_names(data, size)
         assert len(names) == len(data) - size + 1
         assert len({(int(n), bytes(data[i : i + size])) for i, n in enumerate(names)}) == len(set(map(int, names)))
+
+
+def thue_morse(n):
+    """A word of n letters and its complement: equal under any polynomial modulo 2^64 with an odd base."""
+    bits = [bin(i).count("1") % 2 for i in range(n)]
+    return "".join("ab"[b] for b in bits), "".join("ba"[b] for b in bits)
+
+
+def test_regular_patterns_are_told_apart(spark):
+    one, two = thue_morse(2048)
+    tail = " ".join(f"w{i}" for i in range(19))
+    rows = [(1, f"{one} {tail}"), (2, f"{two} {tail}"), (3, " ".join(one)), (4, " ".join(two)), (5, f"{tail} {two}")]
+    docs = spark.createDataFrame(rows, "doc_id bigint, text string")
+    for length in (20, 1024):
+        assert sorted(map(tuple, repeats.word_dedup(docs, length).collect())) == word_rows(rows, length)
+    assert sorted(map(tuple, repeats.byte_dedup(docs, 1024).collect())) == byte_rows(rows, 1024)
+
+
+def test_a_very_common_passage_makes_few_rows():
+    common = " ".join(f"c{i}" for i in range(60))
+    texts = [f"u{i} " * 3 + common + f" v{i}" * 3 for i in range(300)]
+    batch = pa.RecordBatch.from_arrays([pa.array(range(300), pa.int64()), pa.array(range(300), pa.int64()), pa.array(texts), pa.array(texts)], ["at", "tkey", "digest", "text"])
+    rows = pa.Table.from_batches(repeats._stretch_rows(repeats.word_pieces, 20)(iter([batch]))).to_pandas()
+    again = rows[rows.windows < 0]
+    assert len(again) > 1000 and again.name.nunique() == len(again)
+    assert rows[rows.windows > 0].groupby("name").size().max() <= 300
+
+
+def test_first_query_of_a_fresh_worker():
+    """The kernels import what they use themselves."""
+    import subprocess
+    import sys
+    from pathlib import Path
+
+    code = "import pyarrow as pa; from tidemark.llm.repeats import _lists; _lists(pa.array([[{'a': 1, 'b': 2}], None], pa.list_(pa.struct([('a', pa.int64()), ('b', pa.int32())]))))"
+    subprocess.run([sys.executable, "-c", code], check=True, cwd=Path(__file__).resolve().parents[2])
