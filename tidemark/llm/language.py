@@ -7,13 +7,16 @@ language whose text needs the fewest phrases per letter wins. The score is
 
 The automata are laid out as one table, state x letter, for the most frequent
 letters, and as sorted transitions for the others; texts run through them side by
-side in segments of ``SEGMENT`` characters (each segment starts a
-phrase anew, which adds the same few phrases for every language), so every
-character of every text is parsed, in bounded memory.
+side in segments of ``SEGMENT`` characters. Each segment is first parsed as if a
+phrase began with it; then the parse of the segment before is carried on into it,
+up to where both begin a phrase at one letter, from where they agree, and the
+phrases up to there are counted anew. So phrase counts are those of whole texts,
+in bounded memory.
 
 The fit reads at most ``SAMPLE_DOCS`` rows a language and at most
-``SAMPLE_LETTERS`` letters of them, less if there are very many languages; it is
-the only bounded step.
+``SAMPLE_LETTERS`` letters of them, and ``SAMPLE_LETTERS_ALL`` of all languages;
+beyond ``SAMPLE_LANGS`` languages it takes those with the most labelled rows. It
+is the only bounded step.
 
 Null texts and texts without letters get ``und`` and score 0; so does every text
 if nothing is labelled. Ties go to the language first in code point order. Long
@@ -37,11 +40,13 @@ SAMPLE_DOCS = 64
 SAMPLE_LETTERS = 12_000
 #: The same for all languages together.
 SAMPLE_LETTERS_ALL = 400_000
+#: Languages that the fit looks at.
+SAMPLE_LANGS = 1000
 #: Distinct letters that have a column in the table; rarer ones are looked up among sorted transitions.
 ALPHABET = 124
 #: Characters parsed as one run.
 SEGMENT = 256
-#: Segments parsed side by side.
+#: Segments parsed side by side, for four languages or fewer.
 TOGETHER = 4096
 #: A language is rejected in a filter if the best parse needs more phrases a letter.
 MOST_PHRASES = 0.6
@@ -157,14 +162,19 @@ class Parser:
         at = np.minimum(np.searchsorted(self.far, wanted), len(self.far) - 1)
         return np.where(self.far[at] == wanted, self.far_to[at], 0)
 
-    def phrases(self, segments: np.ndarray) -> np.ndarray:
-        """Phrases of each language (row) in each segment (column); segments: segment x position."""
+    def phrases(self, segments: np.ndarray, follows: np.ndarray, before: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Phrases of each language (row) in each segment (column), and the states after the last one.
+
+        segments: segment x position; follows: whether a segment goes on with the
+        text of the one before; before: the states after what came before the first.
+        """
         n, langs, width = len(segments), len(self.langs), self.pad + 1
         columns, flat, restart = np.ascontiguousarray(segments.T), self.table.ravel(), self.restart.ravel()
         base = (np.arange(langs, dtype=np.int32) * width)[:, None]
         state = np.repeat(self.alone[:, None], n, axis=1)
         count = np.zeros((langs, n), np.int32)
-        for letters in columns:
+        begun = np.zeros((len(columns), langs, n), bool)
+        for step, letters in enumerate(columns):
             c, rare = letters, np.flatnonzero(letters > self.pad)
             if len(rare):
                 c = np.where(letters > self.pad, 1, letters)  # a column without transitions
@@ -175,7 +185,7 @@ class Parser:
             state = flat.take(state)
             if len(rare):
                 state[:, rare] = reached
-            miss = state == 0
+            miss = np.equal(state, 0, out=begun[step])
             count += miss
             at = np.flatnonzero(miss)
             if len(at):
@@ -183,7 +193,48 @@ class Parser:
             if len(rare) and len(self.far):
                 first = self._beyond(self.starts[:, None], codes)
                 state[:, rare] = np.where(miss[:, rare] & (first > 0), first, state[:, rare])
-        return count
+        return self._carried(columns, follows, before, state, count, begun)
+
+    def _carried(self, columns: np.ndarray, follows: np.ndarray, before: np.ndarray, fresh: np.ndarray, count: np.ndarray, begun: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Counts and last states with each segment parsed on from the one before."""
+        n, end, more = len(follows), fresh.copy(), np.zeros_like(count)
+        lane = np.flatnonzero(follows)
+        langs, lanes = (x.ravel() for x in np.meshgrid(np.arange(len(self.langs)), lane, indexing="ij"))
+        while len(lanes):
+            states = np.where(lanes > 0, end[langs, lanes - 1], before[langs])
+            unlike = np.zeros(len(lanes), np.int32)
+            alive, state = np.arange(len(lanes)), states
+            for step, letters in enumerate(columns):
+                state, miss = self._step(state, langs[alive], letters[lanes[alive]])
+                old = begun[step, langs[alive], lanes[alive]]
+                unlike[alive] += miss.astype(np.int32) - old
+                on = ~(miss & old)
+                alive, state = alive[on], state[on]
+                if not len(alive):
+                    break
+            more[langs, lanes] = unlike
+            now = fresh[langs, lanes]
+            now[alive] = state
+            moved = (now != end[langs, lanes]) & (lanes + 1 < n)
+            end[langs, lanes] = now
+            langs, lanes = langs[moved], lanes[moved] + 1
+            ok = follows[lanes]
+            langs, lanes = langs[ok], lanes[ok]
+        return count + more, end[:, -1]
+
+    def _step(self, state: np.ndarray, langs: np.ndarray, letters: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """States after a letter each, and whether a phrase begins with it."""
+        width, rare = self.pad + 1, letters > self.pad
+        c = np.where(rare, 1, letters).astype(np.int64)
+        to = self.table.ravel().take(state.astype(np.int64) * width + c)
+        if rare.any() and len(self.far):
+            to[rare] = self._beyond(state[rare], letters[rare].astype(np.int64))
+        miss = to == 0
+        to = np.where(miss, self.restart.ravel().take(langs * width + c), to)
+        if rare.any() and len(self.far):
+            first = self._beyond(self.starts[langs], letters.astype(np.int64))
+            to = np.where(miss & rare & (first > 0), first, to)
+        return to.astype(np.int32), miss
 
     def judge(self, texts: list[str | None]) -> list[dict]:
         out: list[dict] = [{"lang": UNKNOWN, "score": 0.0, "phrases": None}] * len(texts)
@@ -207,8 +258,13 @@ class Parser:
         room = np.full(int(ends[-1]) * SEGMENT, self.pad, self.codes.dtype)
         for (_, codes), end, size in zip(waiting, ends, sizes, strict=True):
             room[(end - size) * SEGMENT : (end - size) * SEGMENT + len(codes)] = codes
-        found = np.concatenate([self.phrases(x) for x in np.array_split(room.reshape(-1, SEGMENT), max(1, int(ends[-1]) // TOGETHER))], axis=1)
-        found = np.add.reduceat(found, ends - sizes, axis=1)
+        room, follows, counted, before = room.reshape(-1, SEGMENT), np.ones(int(ends[-1]), bool), [], self.alone
+        follows[ends - sizes] = False
+        together = max(16, TOGETHER * 4 // max(4, len(self.langs)))
+        for at in range(0, len(room), together):
+            found, before = self.phrases(room[at : at + together], follows[at : at + together], before)
+            counted.append(found)
+        found = np.add.reduceat(np.concatenate(counted, axis=1), ends - sizes, axis=1)
         for k, (i, codes) in enumerate(waiting):
             counts = found[:, k]
             order = np.argsort(counts, kind="stable")
@@ -225,8 +281,12 @@ def held_out(doc_id: Column) -> Column:
 
 def fit(docs: DataFrame, seed: int = 7) -> Parser:
     """Build the automata from at most SAMPLE_DOCS labelled rows a language."""
-    key, text = ["doc_id", "lang", "hash"], F.substring("text", 1, SAMPLE_LETTERS)
-    rows = docs.filter("lang is not null and text is not null").select("doc_id", "lang", text.alias("text")).withColumn("hash", F.xxhash64("text"))
+    key = ["doc_id", "lang", "hash"]
+    usable = docs.filter(F.col("lang").isNotNull() & F.col("text").isNotNull())
+    counts = usable.filter(~held_out(F.col("doc_id"))).groupBy("lang").agg(F.count("*").alias("n")).orderBy(F.col("n").desc(), "lang").limit(SAMPLE_LANGS).collect()
+    langs = [r["lang"] for r in counts]
+    letters = min(SAMPLE_LETTERS, SAMPLE_LETTERS_ALL // max(1, len(langs)))
+    rows = usable.filter(F.col("lang").isin(langs)).select("doc_id", "lang", F.substring("text", 1, letters).alias("text")).withColumn("hash", F.xxhash64("text"))
     labelled = rows.filter(~held_out(F.col("doc_id"))).select(*key, F.xxhash64(F.lit(seed), "doc_id").alias("order"))
     chosen = labelled.withColumn("k", F.row_number().over(Window.partitionBy("lang").orderBy("order", "doc_id", "hash"))).filter(F.col("k") <= SAMPLE_DOCS)
     chosen = chosen.groupBy(key).agg(F.count("*").alias("times"))  # equal rows are sent once
