@@ -211,6 +211,7 @@ def repeated(docs: DataFrame, pieces: Callable, length: int) -> DataFrame:
     docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce("text", F.lit("")).alias("text"))
     docs = docs.withColumns({"at": F.coalesce("doc_id", F.lit(NULL_LAST)), "tkey": F.xxhash64("text"), "digest": F.md5(F.col("text").cast("binary"))})
     heads = docs.groupBy("digest").agg(F.min("at").alias("head"), F.max("at").alias("tail")).filter("head < tail").select("digest", "head")
+    heads = checkpointed(heads)  # a plain table: Spark can split the join below where a text has very many copies
     rows = docs.select("at", "tkey", "digest", "text").mapInArrow(_stretch_rows(pieces, length), STRETCHES).repartition("name")
     place = ["at", "tkey", "first"]
     same, named = Window.partitionBy("name", "digest", "other").orderBy(*place), Window.partitionBy("name")
