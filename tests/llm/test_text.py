@@ -29,13 +29,29 @@ def phrases(text, sample):
 
 
 @settings(max_examples=50, deadline=None)
-@given(st.text("abcx", min_size=1, max_size=200), st.text("abc", min_size=70, max_size=120))
-def test_phrases_are_longest_matches(text, sample):
-    parser = language.Parser({"l": [sample], "m": ["zzz" * 30]})
-    found = parser.judge([text])[0]
-    want = phrases(text, sample)
-    if found["lang"] == "l" and len(text) < language.SEGMENT:
-        assert round(found["phrases"] * len(text)) == want
+@given(st.lists(st.text("abcx", min_size=1, max_size=900), min_size=1, max_size=4), st.text("abc", min_size=70, max_size=120), st.sampled_from([1, 7, 64, 256]), st.sampled_from([1, 4096]))
+def test_phrases_are_longest_matches(texts, sample, segment, together):
+    """Whole texts, whatever the segments they are parsed in."""
+    held = language.SEGMENT, language.TOGETHER
+    language.SEGMENT, language.TOGETHER = segment, together
+    try:
+        samples = {"l": sample, "m": "zzz" * 30, "n": sample[::-1] + "xx"}
+        found = language.Parser({k: [v] for k, v in samples.items()}).judge([None, *texts])[1:]
+        for text, r in zip(texts, found, strict=True):
+            counts = {k: phrases(text, v) for k, v in samples.items()}
+            best = min(sorted(counts), key=counts.get)
+            assert (r["lang"], round(r["phrases"] * len(text))) == (best, counts[best])
+    finally:
+        language.SEGMENT, language.TOGETHER = held
+
+
+def test_a_phrase_over_many_segments():
+    sample = "".join(random.Random(5).choices("abcdefgh", k=4000))
+    parser = language.Parser({"l": [sample], "m": ["q" * 80]})
+    text = sample[100:3000] + "xyz" + sample[7:1500]
+    found = parser.judge([text, "q" * 999])
+    assert round(found[0]["phrases"] * len(text)) == phrases(text, sample) == 5
+    assert found[1]["lang"] == "m"
 
 
 @pytest.mark.parametrize("alphabet", [0, 3, 124])
@@ -51,7 +67,7 @@ def test_every_letter_of_the_samples_counts(monkeypatch, alphabet):
     tries += [(None, " ".join(x.split()[0] for _, x in rng.sample(tries, 6))) for _ in range(20)] + [(None, "\u4dff\u3400 \u4e00\u4e00a")]
     parser = language.Parser(samples)
     for lang, text in tries:
-        text = text[: language.SEGMENT - 1]
+        text = f"{text} {text}"
         found = parser.judge([text])[0]
         counts = {k: phrases(text, sample[0]) for k, sample in samples.items()}
         best = min(sorted(counts), key=counts.get)
@@ -103,6 +119,44 @@ def test_extracts_the_article():
     assert extraction.main_text(None) == extraction.main_text("") == extraction.main_text("<nav>x</nav>") == ""
     assert extraction.main_text("just text, no marks") == "just text, no marks"
     assert extraction.main_text("<p>open <!-- never closed") == "open"
+    assert extraction.main_text('<p>a < b, <c and <a href="x') == 'a < b, <c and <a href="x'
+
+
+ARTICLE = "<h1>A title here</h1><p>First one, with commas, and a long enough text to count. Again.</p><p>Second, also long, with marks; it goes on.</p>"
+TITLED = "A title here First one, with commas, and a long enough text to count. Again. Second, also long, with marks; it goes on."
+AROUND = '<html><body><nav><ul><li><a>x</a></ul></nav><div class="ad">Buy now, cheap. Really.</div>%s<div id="comments"><div class="comment"><p>I like, really, this. So good.</p></div></div><div class="cookie-banner">We use cookies, ok? Yes.</div><footer>c 2020, all, rights.</footer></body></html>'
+
+
+@pytest.mark.parametrize("around", ['<div class="content has-sidebar">%s</div>', '<article class="overflow-hidden">%s</article>', '<div class="side-by-side">%s</div>', '<main class="site search-enabled">%s</main>', '<div class="post share-buttons-top">%s</div>', '<div class="comments">%s</div>'])
+def test_names_alone_dont_empty_a_page(around):
+    assert TITLED in extraction.main_text(AROUND % around % ARTICLE)
+    if "comments" not in around:
+        assert extraction.main_text(AROUND % around % ARTICLE) == TITLED
+
+
+def test_parts_of_an_article_stay():
+    parts = '<article><header class="entry-header header"><h2>Big title</h2></header>%s<ul><li><a href=x>one link</a></li><li><a href=y>two</a></li></ul><table><tr><td>1</td><td>2</td></tr></table></article>'
+    assert extraction.main_text(AROUND % parts % ARTICLE) == f"Big title {TITLED} one link two 1 2"
+
+
+def test_ratios_choose(monkeypatch):
+    """Without the threshold, or with one that only long text passes, results change."""
+    pages = [h for (h,) in duckdb.sql(f"SELECT html FROM '{SF}/pages.parquet'").fetchall()]
+    whole = [extraction.main_text(h) for h in pages]
+    monkeypatch.setattr(extraction, "THRESHOLD", 0.0)
+    assert all(a != extraction.main_text(h) for a, h in zip(whole, pages, strict=True))
+    plain = AROUND.replace(' class="ad"', "").replace(' class="cookie-banner"', "") % '<div class="x">%s</div>' % (ARTICLE * 3)
+    monkeypatch.setattr(extraction, "THRESHOLD", 0.3)
+    assert extraction.main_text(plain) == " ".join([TITLED] * 3)
+
+
+@pytest.mark.parametrize("mark", ["<a ", '<a "', "<a b='", '<a ="', "<div>", "</div><x>", "<!--", "<script>", "<li><ul><x>", "<p>x"])
+def test_broken_pages_take_linear_time(mark):
+    import time
+
+    began = time.process_time()
+    extraction.main_text(mark * (400_000 // len(mark)) + ">")
+    assert time.process_time() - began < 10
 
 
 def test_articles_of_the_pages(spark):
