@@ -6,9 +6,14 @@ integers have no NULL; readers that want zeros for NULL ask for them.
 
 from __future__ import annotations
 
+from decimal import Context, Decimal, InvalidOperation
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+#: Enough digits for any 256-bit number.
+_WIDE = Context(prec=90)
 #: Fixed value: the 64-bit integer that stands for NULL on the wire.
 NULL_LONG = -(1 << 63)
 #: Types without NULL and what stands in.
@@ -56,6 +61,86 @@ def long256(hex_digits: Column) -> Column:
     return F.when(digits.rlike("^[0-9a-f]{1,64}$"), F.unhex(F.lpad(digits, 64, "0")))
 
 
+def is_char(column: Column) -> Column:
+    """Exactly one character of the basic plane (at most three bytes of UTF-8)."""
+    return F.coalesce((F.char_length(column) == 1) & (F.octet_length(column) <= 3), F.lit(False))
+
+
+def date_of_millis(column: Column) -> Column:
+    """A date value, which counts milliseconds."""
+    return F.timestamp_millis(column)
+
+
+def decimal_of_text(text: Column, precision: int = 38, scale: int = 10) -> Column:
+    """A decimal from text, exponents included; NULL for NaN, infinities and what doesn't fit."""
+    return text.try_cast(f"decimal({precision},{scale})")
+
+
+def decimal_of_parts(coefficient: Column, exponent: Column) -> Column:
+    """coefficient x 10^exponent as struct(unscaled, scale): no digits are lost, positive exponents are worked in."""
+    digits = F.concat(coefficient.cast("string"), F.repeat(F.lit("0"), F.greatest(exponent, F.lit(0)).cast("int")))
+    unscaled, scale = digits.try_cast("decimal(38,0)"), F.greatest(-exponent, F.lit(0)).cast("int")
+    return F.when(unscaled.isNotNull() & (scale <= 76), F.struct(unscaled.alias("unscaled"), scale.alias("scale")))
+
+
+def twos_complement(column: Column) -> Column:
+    """A whole number as the fewest bytes of two's complement, big end first."""
+    n = F.lit(8)
+    for k in range(7, 0, -1):
+        n = F.when(column.between(-(1 << (8 * k - 1)), (1 << (8 * k - 1)) - 1), k).otherwise(n)
+    return F.unhex(F.right(F.lpad(F.hex(column), 16, "0"), 2 * n))
+
+
+def decimal256(text: Column, scale: int) -> Column:
+    """32 sortable bytes of a decimal in text, scaled to a whole number; NULL unless it fits exactly.
+
+    Spark's decimals end at 38 digits; these have up to 76.
+    """
+
+    @F.arrow_udf("binary")
+    def encoded(texts: pa.Array) -> pa.Array:
+        return pa.array([_encoded(t, scale) for t in texts.to_pylist()], pa.binary())
+
+    return encoded(text)
+
+
+def _encoded(text: str | None, scale: int) -> bytes | None:
+    try:
+        value = Decimal(text or "").scaleb(scale, _WIDE)
+    except (InvalidOperation, ValueError):
+        return None
+    if not value.is_finite() or value != value.to_integral_value() or not -(1 << 255) <= int(value) < 1 << 255:
+        return None
+    return (int(value) + (1 << 255)).to_bytes(32, "big")  # sorts as the number does
+
+
+def decimal256_text(encoded: Column, scale: int) -> Column:
+    """The number back as text with all places of its scale."""
+
+    @F.arrow_udf("string")
+    def decoded(values: pa.Array) -> pa.Array:
+        numbers = (None if v is None else int.from_bytes(v, "big") - (1 << 255) for v in values.to_pylist())
+        return pa.array([None if n is None else format(Decimal(n).scaleb(-scale, _WIDE), "f") for n in numbers], pa.string())
+
+    return decoded(encoded)
+
+
+def ipv4_value(text: Column) -> Column:
+    """The number of a dotted address; NULL if it is none."""
+    parts = F.transform(F.split(text, r"\."), lambda p: p.cast("bigint"))
+    value = F.aggregate(parts, F.lit(0).cast("bigint"), lambda a, p: a * 256 + p)
+    octet = r"(?:25[0-5]|2[0-4]\d|1?\d?\d)"
+    return F.when(text.rlike(rf"^{octet}(?:\.{octet}){{3}}$"), value)
+
+
+def random_binary(key: Column, low: int, high: int, nulls: int, seed: int = 1) -> Column:
+    """Bytes drawn by a key: low to high long, NULL for one key in ``nulls`` (0: never)."""
+    length = F.lit(low) + F.pmod(F.xxhash64(F.lit(seed), key), F.lit(high - low + 1))
+    blocks = F.transform(F.sequence(F.lit(0), F.lit(-(-high // 32))), lambda i: F.sha2(F.concat_ws(":", F.lit(str(seed)), key.cast("string"), i.cast("string")), 256))
+    data = F.substring(F.unhex(F.array_join(blocks, "")), F.lit(1), length.cast("int"))
+    return F.when(F.pmod(F.xxhash64(F.lit(-seed), key), F.lit(nulls)) > 0, data) if nulls else data
+
+
 def varint_bytes(column: Column) -> Column:
     """Length of an unsigned number in base-128."""
     size = F.lit(10)

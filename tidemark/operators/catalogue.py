@@ -3,15 +3,18 @@
 from __future__ import annotations
 
 from collections.abc import Callable
+from uuid import uuid4
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions import values
+from tidemark.functions import arrays, names, values
 from tidemark.operators import hosts, ingest
-from tidemark.plans.client import Client, sequence
+from tidemark.plans.client import Client, Typed, sequence
+from tidemark.plans.storage import shared_folder
+from tidemark.plans.tables import Database, Table
 from tidemark.sources import lines
-from tidemark.streaming.ingest import category, halts
+from tidemark.streaming.ingest import category, halts, retryable, terminal
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -153,13 +156,18 @@ def q21_symbol_delta(spark, sf_dir):
     return ingest.symbol_deltas(ingest.flush_batches(events, "event_id", 1000), "s")
 
 
-@query("""WITH a AS (SELECT user_id, event_id, epoch_us(ts) AS t FROM events),
-d AS (SELECT *, t - lag(t) OVER (PARTITION BY user_id ORDER BY event_id) AS d FROM a),
-e AS (SELECT *, d - lag(d) OVER (PARTITION BY user_id ORDER BY event_id) AS dd FROM d)
-SELECT user_id, count(*) AS points, coalesce(sum(CASE WHEN dd IS NULL THEN NULL WHEN dd = 0 THEN 1 WHEN dd BETWEEN -63 AND 64 THEN 9 WHEN dd BETWEEN -255 AND 256 THEN 12 WHEN dd BETWEEN -2047 AND 2048 THEN 16 ELSE 36 END), 0)::BIGINT AS bits
-FROM e GROUP BY user_id""")
+_GORILLA = """(WITH a AS (SELECT user_id, list({t} ORDER BY event_id) AS t FROM events GROUP BY user_id),
+x AS (SELECT user_id, len(t) AS n, list_transform(range(3, len(t) + 1), lambda i: t[i] - 2 * t[i - 1] + t[i - 2]) AS dd FROM a)
+SELECT user_id, n, CASE WHEN len(list_filter(dd, lambda v: abs(v + 0.5::DOUBLE) > 2147483648)) > 0 THEN -1
+ ELSE 8 * least(n, 2) + (coalesce(list_sum(list_transform(dd, lambda v: CASE WHEN v = 0 THEN 1 WHEN v >= -64 AND v < 64 THEN 9 WHEN v >= -256 AND v < 256 THEN 12 WHEN v >= -2048 AND v < 2048 THEN 16 ELSE 36 END)), 0) + 7) // 8 END AS bytes FROM x)"""
+
+
+@query(f"""SELECT m.user_id, m.n AS points, m.bytes::BIGINT AS micros_bytes, s.bytes::BIGINT AS seconds_bytes
+FROM {_GORILLA.format(t="epoch_us(ts)")} m JOIN {_GORILLA.format(t="epoch_us(ts) // 1000000")} s USING (user_id)""")
 def q22_gorilla_size(spark, sf_dir):
-    return ingest.gorilla_bits(table(spark, sf_dir, "events"), "user_id", values.micros(F.col("ts")), "event_id")
+    events, micros = table(spark, sf_dir, "events"), values.micros(F.col("ts"))
+    fine, coarse = (ingest.gorilla_bytes(events, "user_id", t, "event_id") for t in (micros, F.floor(micros / 1_000_000)))
+    return fine.withColumnRenamed("bytes", "micros_bytes").join(coarse.select("user_id", F.col("bytes").alias("seconds_bytes")), "user_id")
 
 
 @query("SELECT l_orderkey, l_linenumber, (l_extendedprice::DECIMAL(18,3) * 1000)::BIGINT AS unscaled FROM lineitem")
@@ -220,15 +228,23 @@ def q32_ilp_line(spark, sf_dir):
     return lines.to_lines(table(spark, sf_dir, "events"), "ev", ["event_type"], ["event_id", "user_id"], values.micros(F.col("ts")) * 1000)
 
 
+def stored(spark: SparkSession, rows: DataFrame, keys: tuple[str, ...] = (), unit: str = "month") -> Table:
+    """A new table of these rows."""
+    return Database(spark, f"{shared_folder(spark)}/tables-{uuid4().hex}").create("t", rows, "ts", unit, keys)
+
+
 @query("SELECT event_id, CASE WHEN event_type = 'click' THEN value * 2 ELSE value END AS value FROM events")
 def q33_dml_cow_update(spark, sf_dir):
-    events = table(spark, sf_dir, "events")
-    return events.select("event_id", F.when(F.col("event_type") == "click", F.col("value") * 2).otherwise(F.col("value")).alias("value"))
+    t = stored(spark, table(spark, sf_dir, "events").select("event_id", "ts", "event_type", "value"))
+    t.update({"value": F.col("value") * 2}, F.col("event_type") == "click")
+    return t.read().select("event_id", "value")
 
 
 @query("SELECT event_id, ts, user_id, event_type, value FROM events")
 def q34_drop_column(spark, sf_dir):
-    return table(spark, sf_dir, "events").drop("props")
+    t = stored(spark, table(spark, sf_dir, "events"))
+    t.drop_column("props")
+    return t.read()
 
 
 @query("SELECT event_type, event_id, user_id, epoch_us(ts) * 1000 AS nanos FROM events")
@@ -252,3 +268,211 @@ def q37_varint_size(spark, sf_dir):
 def q38_null_sentinels(spark, sf_dir):
     raw = F.when(F.col("event_id") % 10 == 3, F.lit(values.NULL_LONG)).otherwise(F.col("event_id") % 10)
     return table(spark, sf_dir, "events").select("event_id", values.normalised(raw, "bigint").alias("seen"), values.normalised(F.col("event_id") % 4 == 0, "boolean").alias("flag"))
+
+
+@query("SELECT event_id, ts, epoch_us(ts) AS stamp, event_id::DOUBLE AS as_double, user_id::VARCHAR AS as_text FROM events")
+def q39_change_type(spark, sf_dir):
+    t = stored(spark, table(spark, sf_dir, "events").select("event_id", "ts", F.col("ts").alias("stamp"), F.col("event_id").alias("as_double"), F.col("user_id").alias("as_text")))
+    for column, kind in (("stamp", "bigint"), ("as_double", "double"), ("as_text", "string")):
+        t.change_type(column, kind)
+    return t.read()
+
+
+@query("""SELECT user_id, ts, event_id, event_type FROM (SELECT *, row_number() OVER (PARTITION BY user_id, ts ORDER BY event_id DESC) AS k
+ FROM (SELECT user_id % 20 AS user_id, date_trunc('month', ts) AS ts, event_id, event_type FROM events)) WHERE k = 1""")
+def q40_upsert_last_of_batch(spark, sf_dir):
+    """Two batches with many rows of each key; the last row of the last batch stays."""
+    rows = table(spark, sf_dir, "events").select((F.col("user_id") % 20).alias("user_id"), F.date_trunc("month", "ts").cast("timestamp_ntz").alias("ts"), "event_id", "event_type")
+    cut = rows.agg(F.expr("max(event_id) div 2").alias("c")).first()["c"]
+    t = stored(spark, rows.limit(0), ("ts", "user_id"))
+    for batch in (rows.filter(F.col("event_id") <= cut), rows.filter(F.col("event_id") > cut)):
+        t.insert(batch, order="event_id")
+    return t.read()
+
+
+@query("SELECT event_id, ts, value, NULL::VARCHAR AS note FROM events WHERE event_id % 2 = 0 UNION ALL SELECT event_id, ts, value, 'late' FROM events WHERE event_id % 2 = 1")
+def q41_add_column(spark, sf_dir):
+    """A column that a later batch brings is NULL in the rows before."""
+    rows = table(spark, sf_dir, "events").select("event_id", "ts", "value")
+    t = stored(spark, rows.filter("event_id % 2 = 0"))
+    t.insert(rows.filter("event_id % 2 = 1").withColumn("note", F.lit("late")))
+    return t.read()
+
+
+@query("SELECT event_type, ts, count(*) AS n, max(value) AS high FROM (SELECT event_type, date_trunc('day', ts) AS ts, value FROM events) GROUP BY ALL")
+def q42_create_as_select(spark, sf_dir):
+    sql = "SELECT event_type, CAST(date_trunc('day', ts) AS timestamp_ntz) AS ts, count(*) AS n, max(value) AS high FROM events GROUP BY ALL"
+    return stored(spark, asked(spark, sf_dir, sql)).read()
+
+
+@query("SELECT * FROM (VALUES (0, 'event_id', 'bigint', FALSE, FALSE), (1, 'ts', 'timestamp_ntz', TRUE, TRUE), (2, 'kind', 'string', FALSE, FALSE), (3, 'note', 'int', FALSE, FALSE)) v(position, name, type, designated, key)")
+def q43_table_columns(spark, sf_dir):
+    """Columns of a table after it was created, truncated, changed and renamed."""
+    base = Database(spark, f"{shared_folder(spark)}/tables-{uuid4().hex}")
+    t = base.create("first", table(spark, sf_dir, "events").select("event_id", "ts", F.col("event_type").alias("kind"), "value"), "ts", keys=("ts",))
+    t.truncate()
+    t.drop_column("value")
+    t.add_column("note", "int")
+    base.rename("first", "second")
+    return base.columns("second")
+
+
+@query("SELECT date_trunc('month', ts)::DATE AS part, count(*) AS n FROM events GROUP BY 1")
+def q44_table_partitions(spark, sf_dir):
+    parts = stored(spark, table(spark, sf_dir, "events")).partitions()
+    return parts.select(F.to_date("part", "yyyy-MM").alias("part"), "n")
+
+
+@query("SELECT event_id, 3::BIGINT AS three, NULL::INTEGER AS nothing, 1.50::DECIMAL(9,2) AS money FROM events WHERE user_id = 7")
+def q45_typed_binds(spark, sf_dir):
+    sql = "SELECT event_id, :three AS three, :nothing AS nothing, :money AS money FROM events WHERE user_id = :user"
+    return asked(spark, sf_dir, sql, {"three": Typed(3, "bigint"), "nothing": Typed(None, "int"), "money": Typed("1.5", "decimal(9,2)"), "user": 7})
+
+
+@query("SELECT event_id % 140 + 480 AS status, event_id % 140 + 480 IN (500, 503, 504, 507, 509, 523, 524, 529, 599) AS again, count(*) AS n FROM events GROUP BY ALL")
+def q46_retryable_status(spark, sf_dir):
+    status = F.col("event_id") % 140 + 480
+    return table(spark, sf_dir, "events").groupBy(status.alias("status"), retryable(status).alias("again")).agg(F.count("*").alias("n"))
+
+
+@query("SELECT 1000 + event_id % 16 AS code, event_id % 16 IN (2, 3, 7, 8, 9, 10) AS final, count(*) AS n FROM events GROUP BY ALL")
+def q47_terminal_close(spark, sf_dir):
+    code = F.col("event_id") % 16 + 1000
+    return table(spark, sf_dir, "events").groupBy(code.alias("code"), terminal(code).alias("final")).agg(F.count("*").alias("n"))
+
+
+@query("""WITH RECURSIVE e AS (SELECT user_id, event_id, octet_length(encode(props)) AS b, epoch_us(ts) AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id) AS n FROM events),
+r AS (SELECT user_id, event_id, n, 0::BIGINT AS flush, 1 AS k, b AS held, t AS since, b >= 200 AS done FROM e WHERE n = 1
+ UNION ALL SELECT e.user_id, e.event_id, e.n, r.flush + r.done::INTEGER, CASE WHEN r.done THEN 1 ELSE r.k + 1 END, CASE WHEN r.done THEN e.b ELSE r.held + e.b END, CASE WHEN r.done THEN e.t ELSE r.since END,
+  CASE WHEN r.done THEN e.b >= 200 ELSE r.k + 1 >= 6 OR r.held + e.b >= 200 OR e.t - r.since >= 3600000000 END FROM r JOIN e ON e.user_id = r.user_id AND e.n = r.n + 1)
+SELECT user_id, event_id, flush FROM r""")
+def q48_flush_triggers(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select("user_id", "event_id", F.octet_length("props").alias("b"), values.micros(F.col("ts")).alias("t"))
+    return ingest.flushes(rows, "user_id", "event_id", "b", "t", most_rows=6, most_bytes=200, interval=3_600_000_000).select("user_id", "event_id", "flush")
+
+
+@query("""WITH s AS (SELECT event_id // 50 AS batch, event_type AS name, count(*) AS rows, sum(octet_length(encode(props)))::BIGINT AS bytes FROM events GROUP BY ALL)
+SELECT s.batch, s.name, s.rows, s.bytes, CASE WHEN w.bytes <= 700 THEN 'whole' WHEN s.bytes <= 700 THEN 'split' ELSE 'dropped' END AS frame
+FROM s JOIN (SELECT batch, sum(bytes) AS bytes FROM s GROUP BY batch) w USING (batch)""")
+def q49_oversize_split(spark, sf_dir):
+    rows = table(spark, sf_dir, "events").select(F.expr("event_id div 50").alias("batch"), F.col("event_type").alias("name"), F.octet_length("props").cast("bigint").alias("bytes"))
+    return ingest.frames(rows, "batch", "name", "bytes", 700)
+
+
+@query("""SELECT version, kind, CASE WHEN kind LIKE 'array%' THEN version > 1 WHEN kind LIKE 'decimal%' THEN version > 2 ELSE TRUE END AS ok
+FROM (SELECT unnest([1, 2, 3])::BIGINT AS version), (SELECT unnest(['bigint', 'string', 'array<double>', 'decimal(18,3)']) AS kind)""")
+def q50_version_gating(spark, sf_dir):
+    kinds = spark.range(1, 4).select(F.col("id").alias("version"), F.explode(F.array(*map(F.lit, ("bigint", "string", "array<double>", "decimal(18,3)")))).alias("kind"))
+    return kinds.withColumn("ok", names.allowed(F.col("kind"), F.col("version")))
+
+
+@query("""SELECT event_id, NOT (event_id % 5 = 1 OR event_id % 5 = 2 OR event_id % 5 = 3) AS named FROM events""")
+def q51_table_names(spark, sf_dir):
+    k = F.col("event_id") % 5
+    name = F.when(k == 1, F.concat_ws("/", "event_type", "user_id")).when(k == 2, F.concat(F.lit("."), "event_type")).when(k == 3, F.lit("")).when(k == 4, F.concat(F.lit("ü-"), "event_type")).otherwise(F.col("event_type"))
+    return table(spark, sf_dir, "events").select("event_id", names.table_name_ok(name).alias("named"))
+
+
+@query("""SELECT event_id, CASE WHEN event_id % 4 = 0 THEN NULL ELSE event_type[1:1] END AS letter, event_id % 4 = 0 AS rejected FROM events""")
+def q52_char(spark, sf_dir):
+    """A character outside the basic plane, or more than one, is rejected."""
+    text = F.when(F.col("event_id") % 8 == 0, F.lit("𝄞")).when(F.col("event_id") % 8 == 4, F.lit("ab")).otherwise(F.substring("event_type", 1, 1))
+    ok = values.is_char(text)
+    return table(spark, sf_dir, "events").select("event_id", F.when(ok, text).alias("letter"), (~ok).alias("rejected"))
+
+
+@query("SELECT event_id, make_timestamp(event_id * 86399001000) AS day FROM events")
+def q53_date_millis(spark, sf_dir):
+    return table(spark, sf_dir, "events").select("event_id", values.date_of_millis(F.col("event_id") * 86_399_001).cast("timestamp_ntz").alias("day"))
+
+
+@query("SELECT event_id, CASE event_id % 5 WHEN 4 THEN NULL WHEN 3 THEN NULL ELSE (event_id + 0.25)::DECIMAL(38,10) * CASE event_id % 5 WHEN 0 THEN 100 WHEN 1 THEN 1 ELSE 0.01 END END::DECIMAL(38,10) AS amount FROM events")
+def q54_decimal_text(spark, sf_dir):
+    """Decimals from text with exponents; NaN and infinities are rejected."""
+    k = F.col("event_id") % 5
+    number = F.concat(F.col("event_id").cast("string"), F.lit(".25"))
+    text = F.when(k == 4, "NaN").when(k == 3, "Infinity").otherwise(F.concat(number, F.when(k == 0, "e2").when(k == 1, "").otherwise("E-2")))
+    return table(spark, sf_dir, "events").select("event_id", values.decimal_of_text(text).alias("amount"))
+
+
+@query("""SELECT event_id, CASE WHEN e > 0 THEN c * (10 ** e)::BIGINT ELSE c END::BIGINT AS unscaled, greatest(-e, 0)::INTEGER AS scale FROM (SELECT event_id, event_id * 7 - 500 AS c, event_id % 9 - 4 AS e FROM events)""")
+def q55_decimal_parts(spark, sf_dir):
+    d = values.decimal_of_parts(F.col("event_id") * 7 - 500, F.col("event_id") % 9 - 4)
+    return table(spark, sf_dir, "events").select("event_id", d["unscaled"].cast("bigint").alias("unscaled"), d["scale"].alias("scale"))
+
+
+@query("""SELECT event_id, CASE WHEN v BETWEEN -128 AND 127 THEN 1 WHEN v BETWEEN -32768 AND 32767 THEN 2 WHEN v BETWEEN -8388608 AND 8388607 THEN 3 WHEN v BETWEEN -2147483648 AND 2147483647 THEN 4 ELSE 5 END AS bytes
+FROM (SELECT event_id, (event_id % 3 - 1) * event_id * event_id * 37 AS v FROM events)""")
+def q56_twos_complement(spark, sf_dir):
+    v = (F.col("event_id") % 3 - 1) * F.col("event_id") * F.col("event_id") * 37
+    return table(spark, sf_dir, "events").select("event_id", F.octet_length(values.twos_complement(v)).alias("bytes"))
+
+
+@query("SELECT l_orderkey, l_linenumber, (l_extendedprice::DECIMAL(20,4))::VARCHAR AS text, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_extendedprice::DECIMAL(20,4), l_linenumber)::INTEGER AS place FROM lineitem")
+def q57_decimal256(spark, sf_dir):
+    """76-digit decimals as sortable bytes, and back."""
+    price = F.col("l_extendedprice").cast("decimal(20,4)").cast("string")
+    rows = table(spark, sf_dir, "lineitem").select("l_orderkey", "l_linenumber", values.decimal256(price, 4).alias("d"))
+    place = F.row_number().over(Window.partitionBy("l_orderkey").orderBy("d", "l_linenumber"))
+    return rows.withColumn("place", place).select("l_orderkey", "l_linenumber", values.decimal256_text(F.col("d"), 4).alias("text"), "place")
+
+
+@query("SELECT event_id, CASE event_id % 4 WHEN 0 THEN NULL WHEN 1 THEN 'inf'::DOUBLE WHEN 2 THEN '-inf'::DOUBLE ELSE value END AS seen FROM events")
+def q58_double_nan(spark, sf_dir):
+    """NaN counts as NULL; infinities stay."""
+    k = F.col("event_id") % 4
+    raw = F.when(k == 0, F.lit(float("nan"))).when(k == 1, F.lit(float("inf"))).when(k == 2, F.lit(float("-inf"))).otherwise(F.col("value"))
+    return table(spark, sf_dir, "events").select("event_id", values.normalised(raw, "double").alias("seen"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 3 = 0 THEN NULL ELSE lpad(lower(to_hex(event_id)), 64, '0') END AS number FROM events")
+def q59_long256(spark, sf_dir):
+    """Unsigned 256-bit numbers; negative and longer ones are rejected."""
+    text = F.when(F.col("event_id") % 6 == 0, F.lit("-1")).when(F.col("event_id") % 6 == 3, F.lit("0x1" + "0" * 64)).otherwise(F.concat(F.lit("0x"), F.hex("event_id")))
+    return table(spark, sf_dir, "events").select("event_id", F.lower(F.hex(values.long256(text))).alias("number"))
+
+
+@query("""SELECT vec_id, vec_id % 2 = 0 AS ok, CASE WHEN vec_id % 2 = 0 THEN 2 END AS planes, CASE WHEN vec_id % 2 = 0 THEN embedding[8] END AS corner, CASE WHEN vec_id % 2 = 0 THEN embedding[5] END AS inner_value FROM embeddings""")
+def q60_cuboid_array(spark, sf_dir):
+    """2 x 2 x 2 arrays; every second one has a plane too short and is rejected."""
+    e = lambda i: F.element_at("embedding", i)
+    plane = lambda i: F.array(F.array(e(i), e(i + 1)), F.array(e(i + 2), e(i + 3)))
+    whole = F.array(plane(1), F.when(F.col("vec_id") % 2 == 0, plane(5)).otherwise(F.slice(plane(5), 1, 1)))
+    cube = arrays.array_3d(whole)
+    return table(spark, sf_dir, "embeddings").select("vec_id", arrays.is_cuboid(whole).alias("ok"), F.get(cube["shape"], F.lit(0)).alias("planes"), arrays.element(cube, 1, 1, 1).alias("corner"), arrays.element(cube, 1, 0, 0).alias("inner_value"))
+
+
+@query("SELECT vec_id, embedding[1] AS kept, 9.0::FLOAT AS changed, 4 AS n, embedding[3] AS reshaped FROM embeddings")
+def q61_array_values(spark, sf_dir):
+    """Elements set, read and reshaped."""
+    square = arrays.of_shape(F.array(F.lit(2), F.lit(2)), F.slice("embedding", 1, 4))
+    changed = arrays.with_element(square, F.lit(9.0).cast("float"), 0, 1)
+    return table(spark, sf_dir, "embeddings").select("vec_id", arrays.element(changed, 0, 0).alias("kept"), arrays.element(changed, 0, 1).alias("changed"), arrays.elements(changed).alias("n"), arrays.element(arrays.reshaped(changed, 4), 2).alias("reshaped"))
+
+
+@query("SELECT event_id, (event_id * 1103515245) % 4294967296 AS number, event_id % 2 = 0 AS valid FROM events")
+def q62_ipv4_text(spark, sf_dir):
+    number = (F.col("event_id") * 1103515245) % 4294967296
+    odd = F.concat(values.ipv4_text(number), F.when(F.col("event_id") % 2 == 0, "").otherwise(".1"))
+    return table(spark, sf_dir, "events").select("event_id", values.ipv4_value(values.ipv4_text(number)).alias("number"), values.ipv4_value(odd).isNotNull().alias("valid"))
+
+
+@query("SELECT event_id, CASE WHEN event_id % 300 < 256 THEN event_id % 300 - 128 END::TINYINT AS small, event_id % 300 >= 256 AS rejected FROM events")
+def q63_byte_range(spark, sf_dir):
+    small = (F.col("event_id") % 300 - 128).try_cast("tinyint")
+    return table(spark, sf_dir, "events").select("event_id", small.alias("small"), small.isNull().alias("rejected"))
+
+
+@query("SELECT count(*) AS n, 4 AS low, 32 AS high, TRUE AS some_null FROM events")
+def q64_random_binary(spark, sf_dir):
+    b = values.random_binary(F.col("event_id"), 4, 32, 10)
+    return table(spark, sf_dir, "events").select(b.alias("b")).agg(F.count("*").alias("n"), F.min(F.octet_length("b")).alias("low"), F.max(F.octet_length("b")).alias("high"), (F.count("*") > F.count("b")).alias("some_null"))
+
+
+@query("SELECT count(*) FILTER (event_id % 4 IN (0, 1)) AS good, count(*) FILTER (event_id % 4 = 2) AS twice, count(*) FILTER (event_id % 4 = 3) AS late FROM events")
+def q65_bad_lines(spark, sf_dir):
+    """Lines that give a field twice, or a time beyond 64 bits, are rejected one by one."""
+    k = F.col("event_id") % 4
+    line = F.concat(F.lit("ev,kind=a id="), F.col("event_id").cast("string"), F.lit("i"), F.when(k == 2, ",ID=1i").otherwise(""), F.when(k == 3, " 12345678901234567890").otherwise(" 1700000000000000000"))
+    found = lines.parsed(table(spark, sf_dir, "events").select(line.alias("line")))
+    return found.agg(F.count("fields").alias("good"), F.count_if(F.col("error").contains("ID=")).alias("twice"), F.count_if(F.col("error").endswith("67890")).alias("late"))

@@ -55,8 +55,9 @@ def to_lines(rows: DataFrame, table: str, symbols: list[str], fields: list[str],
 def parsed(lines: DataFrame) -> DataFrame:
     """table, symbols, fields (maps of text), nanos and, for lines that don't parse, error.
 
-    Values keep their type mark (``i``, ``t``, ``d``, quotes); ``field_as`` reads
-    them. Blank lines are left out.
+    A line that gives a name twice, whatever its case, or a time beyond 64 bits
+    doesn't parse either. Values keep their type mark (``i``, ``t``, ``d``,
+    quotes); ``field_as`` reads them. Blank lines are left out.
     """
     whole = rf"^({_PART})((?:,{_PART}={_PART})*) ({_PART}={_VALUE}(?:,{_PART}={_VALUE})*)(?: (-?\d+))?$"
     line = F.regexp_replace("line", r"\r$", "")
@@ -65,17 +66,25 @@ def parsed(lines: DataFrame) -> DataFrame:
     def pairs(text: Column, value: str) -> Column:
         found = F.regexp_extract_all(text, F.lit(rf"({_PART}={value})"), F.lit(1))
         name = lambda p: F.regexp_extract(p, rf"^({_PART})=", 1)
-        entries = F.transform(found, lambda p: F.struct(_plain(name(p)), F.substring(p, F.length(name(p)) + 2, F.length(p))))
-        return F.map_from_entries(entries)
-
-    ok = line.rlike(whole)
-    tags = F.transform_values(pairs(part(2), _PART), lambda _, v: _plain(v))
-    return lines.filter(F.trim("line") != "").select(
-        F.when(ok, _plain(part(1))).alias("table"),
-        F.when(ok, tags).alias("symbols"),
-        F.when(ok, pairs(part(3), _VALUE)).alias("fields"),
-        F.when(ok & (part(4) != ""), part(4).cast("bigint")).alias("nanos"),
-        F.when(~ok, line).alias("error"),
+        return F.transform(found, lambda p: F.struct(_plain(name(p)).alias("name"), F.substring(p, F.length(name(p)) + 2, F.length(p)).alias("text")))
+
+    rows = lines.filter(F.trim("line") != "").select(line.alias("line"), line.rlike(whole).alias("ok"), part(1).alias("head"), pairs(part(2), _PART).alias("tags"), pairs(part(3), _VALUE).alias("values"), part(4).alias("time"))
+    names = F.transform(F.concat(F.transform("tags", lambda e: e["name"]), F.transform("values", lambda e: e["name"])), F.lower)
+    nanos = F.col("time").try_cast("bigint")
+    ok = F.col("ok") & (F.size(F.array_distinct(names)) == F.size(names)) & ((F.col("time") == "") | nanos.isNotNull())
+
+    def as_map(entries: str, plain: bool) -> Column:
+        """The first of each name, so that no line can stop the job."""
+        known = F.transform(entries, lambda e: e["name"])
+        first = F.filter(entries, lambda e, i: F.array_position(known, e["name"]) == i + 1)
+        return F.map_from_entries(F.transform(first, lambda e: F.struct(e["name"], _plain(e["text"]) if plain else e["text"])))
+
+    return rows.select(
+        F.when(ok, _plain(F.col("head"))).alias("table"),
+        F.when(ok, as_map("tags", True)).alias("symbols"),
+        F.when(ok, as_map("values", False)).alias("fields"),
+        F.when(ok, nanos).alias("nanos"),
+        F.when(~ok, F.col("line")).alias("error"),
     )
 
 
