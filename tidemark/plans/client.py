@@ -82,6 +82,8 @@ class Cursor:
                 while rows >= most:
                     table = pa.concat_tables(held)
                     yield self._counted(table.slice(0, most))
+                    if self.closed:
+                        return
                     held, rows = [table.slice(most)], rows - most
             if rows:
                 yield self._counted(pa.concat_tables(held))
