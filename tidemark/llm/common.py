@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 import gc
-import tempfile
 import time
 from uuid import uuid4
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.plans.storage import Files, shared_folder
+
 #: Seconds that Spark's listeners get to let go of a finished query.
 SETTLE = 0.4
 
@@ -21,12 +22,8 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``, a temporary one where unset."""
-    sc = spark.sparkContext
-    if sc.getCheckpointDir() is None:
-        sc.setCheckpointDir(spark.conf.get("spark.checkpoint.dir", None) or tempfile.mkdtemp(prefix="tidemark-"))
-    return sc.getCheckpointDir()
+#: Tables that ``checkpointed`` has written, in order.
+_written: list[str] = []
 
 
 def checkpointed(df: DataFrame) -> DataFrame:
@@ -41,6 +38,7 @@ def checkpointed(df: DataFrame) -> DataFrame:
     sc = spark.sparkContext
     path = f"{shared_folder(spark)}/tidemark-{sc.applicationId}/{uuid4().hex}"
     df.write.parquet(path)
+    _written.append(path)
     del df
     for pause in (SETTLE, 0):
         gc.collect()
@@ -49,6 +47,19 @@ def checkpointed(df: DataFrame) -> DataFrame:
     return spark.read.schema(schema).parquet(path)
 
 
+def written() -> int:
+    """A mark in the list of written tables, for ``released``."""
+    return len(_written)
+
+
+def released(spark: SparkSession, since: int, but: int = 0) -> None:
+    """Delete the tables written since a mark, but for the last ones; nothing may still read them."""
+    end = len(_written) - but
+    for path in _written[since:end]:
+        Files(spark).drop(path)
+    del _written[since:end]
+
+
 def word_count(text: Column) -> Column:
     """Number of words of a text, 0 for null."""
     return F.coalesce(F.regexp_count(text, F.lit(WORD)), F.lit(0)).cast("long")

@@ -20,9 +20,12 @@ the sets themselves, in two rounds: first a spanning forest of the best pairs of
 each bucket, then the pairs that are still not connected. A pair that meets in
 several buckets is looked at in the largest of either only. Large buckets are
 cut into chunks. In the first round a chunk meets a few hubs of its bucket,
-which gives as many pairs as members; in the second, chunks meet pairwise in
-separate tasks, but for those whose members are connected already. No group's
-pairs are ever all emitted.
+which gives as many pairs as members. In the second, a bucket of more than one
+chunk that still holds several components is dealt out by prefixes: of each
+set's shingles in one order of all, the first ones, so many that two sets
+without a common one can't be similar enough. Members meet where they share
+one; strangers that only share a signature don't. Chunks of such a part meet in
+separate tasks, but for those whose members are connected already.
 
 Nulls, empty texts and texts without words have an empty set and link to
 nothing; fewer words than a shingle make one shingle. Rows with equal ids or
@@ -40,7 +43,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.llm.common import WORD, checkpointed
+from tidemark.llm.common import WORD, checkpointed, released, written
 from tidemark.llm.components import components
 from tidemark.llm.wordhash import Run, mix, word_runs
 
@@ -207,8 +210,8 @@ def _buckets(rows: DataFrame) -> DataFrame:
 
 
 def _gathered(rows: DataFrame) -> DataFrame:
-    """(sig, i, j, members): rows that meet in one task."""
-    return rows.groupBy("sig", "i", "j").agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
+    """(sig, token, i, j, members): rows that meet in one task."""
+    return rows.groupBy("sig", "token", "i", "j").agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
 
 
 def _hubs(rows: DataFrame) -> DataFrame:
@@ -219,13 +222,39 @@ def _hubs(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks))
     rows = rows.withColumn("i", F.explode(F.when(hub, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array("chunk"))))
     # Dealt out before they are gathered: plain rows take less room in a shuffle than lists do.
-    return _gathered(rows.withColumn("j", F.col("i")).repartition("sig", "i", "j"))
+    return _gathered(rows.withColumn("j", F.col("i")).withColumn("token", F.lit(0).cast("long")).repartition("sig", "token", "i", "j"))
+
+
+def _dealt(rows: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
+    """Members with a token: 0 in buckets of one chunk, else each of the set's first shingles.
+
+    Two sets of n and m shingles that reach the threshold share one of the first
+    n - (least overlap) + 1 and m - (least overlap) + 1 in any common order.
+    """
+
+    def prefixes(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            classes, tokens = [], []
+            for run in word_runs(batch.column(0), fold=True):
+                for _, found in shingles(run, size):
+                    classes.append(class_of(found))
+                    tokens.append(_signed(found[: len(found) + percent * -len(found) // 100 + 1]))
+            yield pa.RecordBatch.from_arrays([pa.array(np.repeat(np.array([c or 0 for c in classes], np.int64), [len(t) for t in tokens])), pa.array(np.concatenate([np.zeros(0, np.int64), *tokens]))], ["class", "token"])
+
+    small, large = rows.filter(F.col("members") <= CHUNK), rows.filter(F.col("members") > CHUNK)
+    texts = _texts_of(large.select("class").distinct(), firsts, docs)
+    tokens = texts.mapInArrow(prefixes, "class bigint, token bigint").distinct()
+    dealt = checkpointed(large.join(tokens, "class").select("sig", "class", "token", "root"))
+    sizes = dealt.groupBy("sig", "token").agg(F.count("*").alias("members"), F.min("root").alias("p"), F.max("root").alias("q")).filter("p < q").drop("p", "q")
+    large = large.drop("members").join(dealt.drop("root").join(sizes, ["sig", "token"]), ["sig", "class"])
+    return small.withColumn("token", F.lit(0).cast("long")).unionByName(large)
 
 
 def _chunks(rows: DataFrame) -> DataFrame:
-    """The members of two chunks of a bucket, or of one, unless all have one root."""
-    by_root = Window.partitionBy("sig", "root")
-    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy("sig").orderBy("root", "class")) - 1)
+    """The members of two chunks of a part of a bucket, or of one, unless all have one root."""
+    part = ["sig", "token"]
+    by_root = Window.partitionBy(*part, "root")
+    rows = rows.withColumn("at", F.row_number().over(Window.partitionBy(*part).orderBy("root", "class")) - 1)
     rows = rows.withColumn("from", F.min("at").over(by_root)).withColumn("to", F.max("at").over(by_root))
     chunk, chunks = F.floor(F.col("at") / CHUNK), F.ceil(F.col("members") / CHUNK)
     # Chunks low..high hold this root alone.
@@ -285,6 +314,12 @@ def _close_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
     return groups.mapInArrow(work, "a bigint, b bigint").distinct()
 
 
+def _texts_of(classes: DataFrame, firsts: DataFrame, docs: DataFrame) -> DataFrame:
+    """Texts, one of each class at least, maybe of others too."""
+    keys = classes.join(firsts, "class").select(F.col("first").alias("key")).distinct()
+    return docs.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(keys, "key", "left_semi").select("text")
+
+
 def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """The pairs whose sets reach the threshold, counted on the whole texts of one document of each class."""
 
@@ -302,9 +337,8 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, p
                 ok.append(100 * shared >= percent * (len(p) + len(q) - shared))
             yield pa.RecordBatch.from_arrays([c.filter(pa.array(ok, pa.bool_())) for c in batch.columns[:2]], ["a", "b"])
 
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct().join(firsts, "class")
-    texts = docs.withColumn("key", F.coalesce("doc_id", F.lit(NO_ID))).join(wanted.select(F.col("first").alias("key")).distinct(), "key", "left_semi").select("text")
-    found = texts.mapInArrow(sets, "class bigint, set binary").join(wanted.select("class"), "class", "left_semi")
+    wanted = pairs.select(F.explode(F.array("a", "b")).alias("class")).distinct()
+    found = _texts_of(wanted, firsts, docs).mapInArrow(sets, "class bigint, set binary").join(wanted, "class", "left_semi")
     found = checkpointed(found.groupBy("class").agg(F.first("set").alias("set")))
     both = pairs.join(found.withColumnsRenamed({"class": "a", "set": "x"}), "a").join(found.withColumnsRenamed({"class": "b", "set": "y"}), "b").select("a", "b", "x", "y")
     return both.mapInArrow(count, "a bigint, b bigint")
@@ -312,7 +346,7 @@ def _verified(pairs: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, p
 
 def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFrame:
     """doc_id, tkey (text hash), n_shingles, class, root and component_id of every document."""
-    docs = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text")
+    docs, since = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text"), written()
     marks = checkpointed(sketched(docs, size, percent))
     buckets = _buckets(signed(docs, size, percent))  # hashed anew: signatures take less room sent than kept
     sketches = marks.filter("sketch is not null").groupBy("class").agg(F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
@@ -324,11 +358,13 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     roots = checkpointed(components(links))
     labelled = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     open_ = labelled.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p < q").select("sig")
-    rest = checkpointed(_close_pairs(_chunks(labelled.join(open_, "sig", "left_semi")), percent, forest=False).join(tried, ["a", "b"], "left_anti"))
+    dealt = _dealt(checkpointed(labelled.join(open_, "sig", "left_semi")), firsts, docs, size, percent)
+    rest = checkpointed(_close_pairs(_chunks(dealt), percent, forest=False).join(tried, ["a", "b"], "left_anti"))
     more = checkpointed(_verified(rest, firsts, docs, size, percent))
     roots = components(links.unionAll(more)).withColumnRenamed("node", "class")
     placed = marks.select("doc_id", "tkey", "n_shingles", "class").join(roots, "class", "left").withColumn("root", F.coalesce("root", "class"))
     placed = checkpointed(placed)
+    released(docs.sparkSession, since, but=1)
     names = placed.filter("root is not null").groupBy("root").agg(F.min("doc_id").alias("component_id"))
     return placed.join(names, "root", "left").select("doc_id", "tkey", "n_shingles", "class", "root", F.when(F.col("class").isNull(), F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"))
 
@@ -341,7 +377,9 @@ def deduplicated(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFr
     rows one stays.
     """
     first = F.struct(F.coalesce("doc_id", F.lit((1 << 63) - 1)).alias("id"), F.col("tkey"))
+    since = written()
     placed = checkpointed(ngram_join(docs, size=size, percent=percent).filter("class is not null").select("doc_id", "tkey", "root"))
+    released(docs.sparkSession, since, but=1)
     keep = placed.groupBy("root").agg(F.min(first).alias("first")).select(F.col("first.id").alias("__id"), F.col("first.tkey").alias("__tkey"), F.lit(True).alias("__keep"))
     marked = docs.withColumns({"__id": F.coalesce(F.col("doc_id").cast("long"), F.lit((1 << 63) - 1)), "__tkey": F.xxhash64("text")})
     kept = marked.join(keep, ["__id", "__tkey"], "left").filter(F.col("__keep") | (F.regexp_count(F.coalesce("text", F.lit("")), F.lit(WORD)) == 0))
