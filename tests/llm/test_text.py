@@ -7,6 +7,7 @@ import zlib
 from collections import Counter
 
 import duckdb
+import numpy as np
 import pyarrow as pa
 import pytest
 from hypothesis import given, settings
@@ -318,3 +319,42 @@ def test_fingerprints_of_odd_rows(spark, odd, none):
     assert fingerprints.fingerprint_documents(none).count() == 0
     one = fingerprints.fingerprint_documents(odd.filter("doc_id = 1")).first()
     assert one.near_next == 1.0 and one.near_edited <= 1.0
+
+
+def test_long_regions_are_summed_in_pieces(spark, monkeypatch):
+    monkeypatch.setattr(decontaminate, "SUMMED", 40)
+    monkeypatch.setattr(decontaminate, "LOOKED_UP", 3)
+    rng = random.Random(4)
+    items = [(k, " ".join(f"w{rng.randrange(40)}" for _ in range(n))) for k, n in enumerate([5, 12, 30, 41, 90])]
+    docs = [(d, " ".join(" ".join(rng.choice(items)[1].split()[rng.randrange(3) :]) for _ in range(12))) for d in range(8)]
+    index = decontaminate.Index(items)
+    run = next(iter(decontaminate.word_runs(pa.array([t for _, t in docs]), fold=True)))
+    got = {(docs[i][0], f[0]) for i, words_ in decontaminate._texts(run) for f in index.search(words_)}
+    assert got == brute_leaks(docs, items)
+
+
+def test_many_items_in_one_turn(spark):
+    rng = random.Random(6)
+    items = [(k, " ".join(f"w{rng.randrange(5000)}" for _ in range(25))) for k in range(20_000)]
+    docs = [(k, " ".join(["before it"] * 4 + [items[k][1]] + ["after it"] * 4)) for k in range(0, 20_000, 400)] + [(-1, "nothing of it at all")]
+    frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    assert len(list(decontaminate._turns(bench))) == 1
+    assert sorted((r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()) == [(k, k) for k in range(0, 20_000, 400)]
+
+
+def test_recall_of_fingerprints():
+    """At a similarity of 0.8 and more, pairs further apart than RADIUS are very rare."""
+    rng = np.random.default_rng(11)
+    missed = tried = 0
+    for n in (14, 25, 40, 80, 150, 300):
+        for _ in range(60):
+            words_ = rng.integers(0, 1 << 62, n).astype(np.uint64)
+            other = words_.copy()
+            for at in rng.integers(0, n, max(1, n // 50)):
+                other[at] = rng.integers(0, 1 << 62)
+            a, b = (decontaminate._grams(x, 5) for x in (words_, other))
+            shared = len(np.intersect1d(a, b))
+            if shared >= 0.8 * (len(a) + len(b) - shared):
+                p, q = (decontaminate._packed(decontaminate._signs(x).sum(0, dtype=np.int64)[None])[0] for x in (a, b))
+                tried, missed = tried + 1, missed + (np.bitwise_count(p ^ q) > decontaminate.RADIUS)
+    assert tried > 150 and missed <= 1
