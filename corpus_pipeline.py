@@ -1,7 +1,11 @@
 """A training corpus from raw documents, in five stages.
 
 Each stage reads what its predecessor wrote, as Parquet, in the cluster's shared
-checkpoint folder.
+checkpoint folder; what a stage has left there goes when its successor is written.
+
+Null and empty texts have no language and go in the first stage; null ids,
+sources and languages stay, and rows equal to an earlier one go in the second.
+An empty table gives an empty result. Extra columns pass all stages but the last.
 
 1. language: documents without a recognised language go.
 2. near_duplicates: of each group of near-duplicate documents one stays, that
@@ -22,7 +26,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import decontaminate, language, mixing, ngram_join, sharding
-from tidemark.llm.common import shared_folder
+from tidemark.llm.common import released, written
+from tidemark.plans.storage import Files, shared_folder
 
 SHARDS = 8
 
@@ -64,14 +69,18 @@ STAGES: list[tuple[str, Callable[[SparkSession, DataFrame, str], DataFrame]]] =
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """All stages over the whole ``documents`` table."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
-    folder = f"{shared_folder(spark)}/corpus-{uuid4().hex}"
+    folder, files = f"{shared_folder(spark)}/corpus-{uuid4().hex}", Files(spark)
     for k, (name, stage) in enumerate(STAGES):
+        since = written()
         docs = stage(spark, docs, sf_dir)
         if k < len(STAGES) - 1:
-            docs.write.parquet(f"{folder}/{k}-{name}")
-            docs = spark.read.parquet(f"{folder}/{k}-{name}")
+            docs.write.parquet(f"{folder}/{name}")
+            docs = spark.read.parquet(f"{folder}/{name}")
+            released(spark, since)
+            if k:
+                files.drop(f"{folder}/{STAGES[k - 1][0]}")
     return docs
 
 
-#: Language ID by automata and hashed sketches aren't SQL; the stages' modules have tests of their own, run() as a whole has none.
+#: Language ID by automata and hashed sketches aren't SQL; tests hold run() against a brute-force version.
 ORACLE_SQL = None
