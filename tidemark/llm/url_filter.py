@@ -11,8 +11,13 @@ Path prefixes are tried only at lengths that occur in the list, so a url makes
 the list.
 
 Null or odd urls: without ``://`` host and path are empty, no entry fits and the
-default verdict is given. Repeated rows are judged each on their own; an empty
-table gives an empty result; an empty list gives the default to all.
+default verdict is given; such rows take part in no join. Of fitting entries of
+one length the one of the greater text (host, space, path) wins; of one entry
+listed twice the verdict first in the alphabet. Long urls are looked at whole.
+Rows are judged each on their own, extra columns are ignored; an empty table
+gives an empty result; an empty list gives the default to all. Verdicts of the
+distinct (host, path) pairs are written before the pages are joined to them, so
+Spark can split the rows of a pair that very many pages have.
 """
 
 from __future__ import annotations
@@ -21,6 +26,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidemark.llm.common import checkpointed
+
 #: Blocks of 64 bits; about 16 bits for each listed entry.
 BITS_PER_ENTRY = 16
 #: Bits set in its block by each entry.
@@ -79,7 +86,10 @@ def filter_urls(pages: DataFrame, rules: DataFrame, *, url_col: str = "url", id_
     tried = places.withColumn("suffix", F.explode(suffixes)).withColumn("prefix", F.explode(prefixes)).withColumn("key", F.concat("suffix", F.lit(" "), "prefix"))
     passed = tried.withColumn("block", _block(F.col("key"), blocks)).withColumn("mask", _mask(F.col("key"))).join(bloom_filter(rules, "key", blocks), "block").filter("(bits & mask) = mask")
     hits = passed.join(rules, "key").groupBy("host", "path").agg(F.max_by(F.struct(F.concat("rule_host", "rule_path").alias("rule"), F.col("rule_verdict").alias("verdict")), F.struct(F.length(F.col("rule_host")) + F.length(F.col("rule_path")), F.col("key"))).alias("hit"))
-    return urls.join(hits, ["host", "path"], "left").select(F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), F.lit(default)).alias("verdict"))
+    hits = checkpointed(hits)
+    hosted = urls.filter("host <> ''").join(hits, ["host", "path"], "left")
+    judged = hosted.unionByName(urls.filter("host = ''"), allowMissingColumns=True)
+    return judged.select(F.col("id").alias(id_col), "host", "path", F.col("hit.rule").alias("rule"), F.coalesce(F.col("hit.verdict"), F.lit(default)).alias("verdict"))
 
 
 #: The listed entries of the registered query: verdict, host, path.
@@ -87,7 +97,8 @@ LISTED = (("allow", "org", "/"), ("block", "example.org", "/es/"), ("block", "ex
 
 
 def op4_url_filter(spark, sf_dir):
-    rules = spark.createDataFrame([(h, p, v) for v, h, p in LISTED], RULES_SCHEMA)
+    listed = ", ".join(f"('{h}', '{p}', '{v}')" for v, h, p in LISTED)
+    rules = spark.sql(f"SELECT * FROM VALUES {listed} AS rules(rule_host, rule_path, rule_verdict)")
     return filter_urls(spark.read.parquet(f"{sf_dir}/pages.parquet"), rules)
 
 
