@@ -358,3 +358,28 @@ def test_recall_of_fingerprints():
                 p, q = (decontaminate._packed(decontaminate._signs(x).sum(0, dtype=np.int64)[None])[0] for x in (a, b))
                 tried, missed = tried + 1, missed + (np.bitwise_count(p ^ q) > decontaminate.RADIUS)
     assert tried > 150 and missed <= 1
+
+
+def test_fingerprints_of_one_id(spark, monkeypatch):
+    """Many rows of one id, and of none, follow each other by text hash over many ranges."""
+    monkeypatch.setattr(fingerprints, "RANGE_DOCS", 5)
+    texts = [f"Text number {i}. It says {i % 7}. End {i % 3}." for i in range(60)]
+    frame = spark.createDataFrame([(7 if i % 3 else None, t) for i, t in enumerate(texts)] + [(9, "first of all. Yes."), (1, "then this.")], "doc_id bigint, text string")
+    order = {r.text: r.h for r in frame.selectExpr("text", "xxhash64(text) AS h").collect()}
+    rows = sorted(((r.doc_id, r.text) for r in frame.collect()), key=lambda r: (r[0] is None, -(r[0] or 0), order[r[1]]))
+    want = []
+    for i, (d, x) in enumerate(rows):
+        y, k = rows[(i + 1) % len(rows)][1], len(x) // 3
+        want.append((d, len(x), hashlib.sha256((x[: len(x) - k] + y[:k]).encode()).hexdigest()))
+    got = [(r.doc_id, r.n_chars, r.edited_sha256) for r in fingerprints.fingerprint_documents(frame).collect()]
+    assert sorted(map(repr, got)) == sorted(map(repr, want))
+
+
+def test_url_ties_and_long_urls(spark):
+    long = "http://a.b.example.org/en/1" + "x" * 50_000
+    pages = spark.createDataFrame([(1, long, "r", "v"), (2, "http://t.net/aa", None, None), (3, None, None, None)] + [(4, "http://t.net/", None, None)] * 50, "page_id bigint, url string, rule string, key string")
+    rules = spark.createDataFrame([("example.org", "/en/1", "block"), ("t.net", "/a", "allow"), ("t.net", "/a", "block"), ("net", "/aa", "block"), ("t.net", "/", "block")], url_filter.RULES_SCHEMA)
+    got = {r.page_id: (r.path == long[22:] if r.page_id == 1 else r.path, r.rule, r.verdict) for r in url_filter.filter_urls(pages, rules).collect()}
+    assert got[1][1:] == ("example.org/en/1", "block") and got[3] == ("", None, "allow")
+    assert got[2] == ("/aa", "t.net/a", "allow")  # longer host and path together, then the alphabet
+    assert got[4] == ("/", "t.net/", "block") and url_filter.filter_urls(pages, rules).count() == 53
