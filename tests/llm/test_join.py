@@ -53,9 +53,11 @@ def near_copies(n, seed):
     return rows + [(n + i, " ".join(f"y{rng.randrange(9)}" for _ in range(rng.randrange(12)))) for i in range(60)]
 
 
-@pytest.mark.parametrize("size,percent,chunk", [(4, 85, 256), (5, 80, 8)])
-def test_against_brute_force(spark, monkeypatch, size, percent, chunk):
+@pytest.mark.parametrize("size,percent,chunk,gain", [(4, 85, 256, 16), (5, 80, 8, 16), (5, 80, 8, 0)])
+def test_against_brute_force(spark, monkeypatch, size, percent, chunk, gain):
+    """gain 0: every bucket of more than one chunk is dealt out by prefixes."""
     monkeypatch.setattr(ngram_join, "CHUNK", chunk)
+    monkeypatch.setattr(ngram_join, "PREFIX_GAIN", gain)
     monkeypatch.setattr(ngram_join, "HUBS", 2)
     rows = near_copies(120, size)
     got = ngram_join.ngram_join(spark.createDataFrame(rows, "doc_id bigint, text string"), size=size, percent=percent)

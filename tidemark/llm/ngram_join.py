@@ -22,11 +22,12 @@ several buckets is looked at in the largest of either only. Large buckets are
 cut into chunks. In the first round a chunk meets a few hubs of its bucket,
 which gives as many pairs as members. In the second, chunks of a bucket that
 still holds several components meet in separate tasks, but for those whose
-members are connected already. Where a bucket has so many chunks that this takes
-more rows, it is dealt out by prefixes instead: of each set's shingles in one
-order of all, the first ones, so many that two sets without a common one can't
-be similar enough. Members meet where they share one; strangers that only share
-a signature, as very short texts do, don't. Either way finds all pairs.
+members are connected already. Where a bucket has so many chunks that this would
+take many times the rows, it is dealt out by prefixes instead: of each set's
+shingles in one order of all, the first ones, so many that two sets without a
+common one can't be similar enough. Members meet where they share one; strangers
+that only share a signature, as very short texts do, don't. Either way finds all
+pairs.
 
 Nulls, empty texts and texts without words have an empty set and link to
 nothing; fewer words than a shingle make one shingle. Rows with equal ids or
@@ -61,6 +62,8 @@ SPARE = 0.0
 SKETCH_BITS = 32
 #: Members of a bucket's chunk; two chunks meet in one task.
 CHUNK = 256
+#: A bucket is dealt out by prefixes if that makes so many times fewer rows than chunks can meet.
+PREFIX_GAIN = 16
 #: Members of a large bucket, on average, that every chunk of it is held against.
 HUBS = 16
 
@@ -229,8 +232,8 @@ def _hubs(rows: DataFrame) -> DataFrame:
 def _dealt(rows: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
     """Members with a token: 0 where chunks meet, else each of the set's first shingles.
 
-    A bucket is dealt out by shingles where its members have fewer of them than
-    chunks to meet. Two sets of n and m shingles that reach the threshold share one of the first
+    A bucket is dealt out by shingles where its members have PREFIX_GAIN times
+    fewer of them than chunks to meet. Two sets of n and m shingles that reach the threshold share one of the first
     n - (least overlap) + 1 and m - (least overlap) + 1 in any common order.
     """
 
@@ -245,7 +248,7 @@ def _dealt(rows: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, perce
 
     first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
     wide = rows.filter(F.col("members") > CHUNK).groupBy("sig").agg(F.sum(first).alias("shingles"), F.first("members").alias("m"))
-    wide = checkpointed(wide.filter(F.col("shingles") < F.col("m") * F.ceil(F.col("m") / CHUNK)).select("sig"))
+    wide = checkpointed(wide.filter(F.col("shingles") * PREFIX_GAIN < F.col("m") * F.ceil(F.col("m") / CHUNK)).select("sig"))
     small, large = rows.join(wide, "sig", "left_anti"), rows.join(wide, "sig", "left_semi")
     texts = _texts_of(large.select("class").distinct(), firsts, docs)
     tokens = texts.mapInArrow(prefixes, "class bigint, token bigint").distinct()
