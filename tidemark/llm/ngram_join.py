@@ -249,6 +249,8 @@ def _dealt(rows: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, perce
     first = F.col("n_shingles") - F.ceil(F.col("n_shingles") * percent / 100) + 1
     wide = rows.filter(F.col("members") > CHUNK).groupBy("sig").agg(F.sum(first).alias("shingles"), F.first("members").alias("m"))
     wide = checkpointed(wide.filter(F.col("shingles") * PREFIX_GAIN < F.col("m") * F.ceil(F.col("m") / CHUNK)).select("sig"))
+    if wide.isEmpty():
+        return rows.withColumn("token", F.lit(0).cast("long"))
     small, large = rows.join(wide, "sig", "left_anti"), rows.join(wide, "sig", "left_semi")
     texts = _texts_of(large.select("class").distinct(), firsts, docs)
     tokens = texts.mapInArrow(prefixes, "class bigint, token bigint").distinct()
@@ -366,7 +368,7 @@ def ngram_join(docs: DataFrame, *, size: int = 5, percent: int = 80) -> DataFram
     roots = checkpointed(components(links))
     labelled = members.join(roots.withColumnRenamed("node", "class"), "class", "left").withColumn("root", F.coalesce("root", "class"))
     open_ = labelled.groupBy("sig").agg(F.min("root").alias("p"), F.max("root").alias("q")).filter("p < q").select("sig")
-    dealt = _dealt(checkpointed(labelled.join(open_, "sig", "left_semi")), firsts, docs, size, percent)
+    dealt = _dealt(labelled.join(open_, "sig", "left_semi"), firsts, docs, size, percent)
     rest = checkpointed(_close_pairs(_chunks(dealt), percent, forest=False).join(tried, ["a", "b"], "left_anti"))
     more = checkpointed(_verified(rest, firsts, docs, size, percent))
     roots = components(links.unionAll(more)).withColumnRenamed("node", "class")
