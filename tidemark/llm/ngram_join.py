@@ -213,9 +213,9 @@ def _buckets(rows: DataFrame) -> DataFrame:
     return rows.join(inner, "sig", "left_anti")
 
 
-def _gathered(rows: DataFrame) -> DataFrame:
-    """(sig, token, i, j, members): rows that meet in one task."""
-    return rows.groupBy("sig", "token", "i", "j").agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
+def _gathered(rows: DataFrame, by: list[str]) -> DataFrame:
+    """The keys, sig, i and j among them, and members: rows that meet in one task."""
+    return rows.groupBy(*by).agg(F.collect_list(F.struct("class", "n_shingles", "home", "root", "chunk", "sketch")).alias("members"))
 
 
 def _hubs(rows: DataFrame) -> DataFrame:
@@ -226,7 +226,7 @@ def _hubs(rows: DataFrame) -> DataFrame:
     rows = rows.withColumn("chunk", F.pmod(F.xxhash64("class"), chunks))
     rows = rows.withColumn("i", F.explode(F.when(hub, F.sequence(F.lit(0).cast("long"), chunks - 1)).otherwise(F.array("chunk"))))
     # Dealt out before they are gathered: plain rows take less room in a shuffle than lists do.
-    return _gathered(rows.withColumn("j", F.col("i")).withColumn("token", F.lit(0).cast("long")).repartition("sig", "token", "i", "j"))
+    return _gathered(rows.withColumn("j", F.col("i")).repartition("sig", "i", "j"), ["sig", "i", "j"])
 
 
 def _dealt(rows: DataFrame, firsts: DataFrame, docs: DataFrame, size: int, percent: int) -> DataFrame:
@@ -273,7 +273,7 @@ def _chunks(rows: DataFrame) -> DataFrame:
     alone = F.col("chunk").between(F.col("low"), F.col("high"))
     others = F.filter(F.sequence(F.lit(0).cast("long"), F.col("chunks") - 1), lambda c: ~(alone & c.between(F.col("low"), F.col("high"))))
     rows = rows.withColumn("other", F.explode(others))
-    return _gathered(rows.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")))
+    return _gathered(rows.withColumn("i", F.least("chunk", "other")).withColumn("j", F.greatest("chunk", "other")), [*part, "i", "j"])
 
 
 def _close_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
