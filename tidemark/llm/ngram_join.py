@@ -318,7 +318,10 @@ def _close_pairs(groups: DataFrame, percent: int, forest: bool) -> DataFrame:
 
     def work(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            out = {p for row in batch.to_pylist() for p in close(row["sig"], row["i"], row["j"], row["members"])}
+            out: set[tuple[int, int]] = set()
+            for k in range(batch.num_rows):  # a group at a time: a batch of them, as Python objects, takes too much room
+                row = batch.slice(k, 1).to_pylist()[0]
+                out.update(close(row["sig"], row["i"], row["j"], row["members"]))
             yield pa.RecordBatch.from_arrays([pa.array([p[k] for p in out], pa.int64()) for k in (0, 1)], ["a", "b"])
 
     return groups.mapInArrow(work, "a bigint, b bigint").distinct()
