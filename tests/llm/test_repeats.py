@@ -6,6 +6,7 @@ import re
 
 import numpy as np
 import pyarrow as pa
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -97,6 +98,22 @@ def test_long_texts_are_read_in_pieces(monkeypatch):
     assert starts == list(range(2901))
 
 
+@pytest.mark.parametrize("texts,letters", [(800, 4000), (1, 2_000_000)])
+def test_kernels_hold_little_at_once(texts, letters):
+    """Six tasks of an executor look for stretches at the same time."""
+    import tracemalloc
+
+    rng = random.Random(3)
+    column = pa.array(["".join(rng.choices("abcdefgh ", k=letters)) for _ in range(texts)])
+    ids = pa.array(range(texts), pa.int64())
+    batch = pa.RecordBatch.from_arrays([ids, ids, ids.cast(pa.string()), column], ["at", "tkey", "digest", "text"])
+    tracemalloc.start()
+    assert sum(b.num_rows for b in repeats._stretch_rows(repeats.byte_pieces, 100)(iter([batch]))) > 50_000
+    peak = tracemalloc.get_traced_memory()[1]
+    tracemalloc.stop()
+    assert peak < 64 << 20
+
+
 def test_triple_names_are_names():
     data = np.frombuffer(b"abcabcabcabdabc" * 20, np.uint8)
     for size in (1, 3, 40, 100):

@@ -75,13 +75,14 @@ def word_pieces(texts: pa.Array, length: int) -> Iterator[Piece]:
         yield Piece(run.first, run.upto, 0, lambda run=run: recompressed(run.hashes, run.upto, length), digests)
 
 
-#: Bytes of a gram that names a window, and of a piece of a long text.
+#: Bytes of a gram that names a window, and of a piece of a long text and a run of
+#: short ones: the kernels hold about 120 bytes for each of them at once.
 GRAM = 40
-PIECE = 1 << 20
+PIECE = 1 << 18
 
 
 def byte_pieces(texts: pa.Array, length: int) -> Iterator[Piece]:
-    for first, bounds, whole in byte_runs(texts):
+    for first, bounds, whole in byte_runs(texts, PIECE):
         for shift in range(0, max(1, len(whole)), PIECE) if len(whole) > 2 * PIECE else (0,):
             data = whole[shift : shift + PIECE + length - 1] if len(whole) > 2 * PIECE else whole
             upto = np.array([0, len(data)]) if len(whole) > 2 * PIECE else bounds
