@@ -163,3 +163,17 @@ def test_names_that_clash_are_kept(spark):
     got = sharding.shard(rows, 3, key=["doc_id", "slot"])
     assert got.columns == ["doc_id", "shard_in", "slot_in", "bucket", "row", "hash", "g", "shard", "slot"]
     assert all(r.slot_in == 2 * r.doc_id and r.shard_in == "a" for r in got.collect()) and got.count() == 20
+
+
+def test_whole_documents_are_shuffled(spark, odd, tmp_path):
+    """The scatter takes texts and all columns along; digests are those of what arrived."""
+    dealt = sharding.sharded_documents(odd, 3)
+    assert sorted(repr(tuple(r.doc)) for r in dealt.collect()) == sorted(repr(tuple(r)) for r in odd.collect())
+    sharding.write_shards(dealt.select("doc.*", "shard", "slot"), str(tmp_path / "out"))
+    got = sorted(repr((r.doc_id, len((r.text or "").encode()) + 1, zlib.crc32((r.text or "").encode()), r.shard, r.slot)) for r in spark.read.parquet(str(tmp_path / "out")).collect())
+    digests = sharding.shard_digests(odd, 3)
+    assert got == sorted(repr((r.doc_id, r.size, r.text_crc32, r.shard, r.slot)) for r in digests.collect())
+    odd.write.parquet(str(tmp_path / "in"))
+    plan = sharding.shard_digests(spark.read.parquet(str(tmp_path / "in")), 3)._jdf.queryExecution().optimizedPlan().toString()
+    scatter = next(line for line in plan.splitlines() if "Window" in line)
+    assert "crc32" not in scatter and "octet_length" in plan.splitlines()[0] and ".text" in plan.splitlines()[0]

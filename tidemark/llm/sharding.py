@@ -7,7 +7,7 @@ counts are at most one apart. The same rows, seed and shard count give the same
 result, whatever the partitioning and whichever tasks run twice.
 
 A bucket's permutation is made once per bucket as an array of row numbers; the
-records themselves cross the network once, in the scatter. A swap copies its
+records themselves, whole, cross the network once, in the scatter. A swap copies its
 bucket's array, so a bucket costs the square of its rows: buckets stay small
 (``BUCKET_ROWS`` on average) however many rows there are. Rows with equal keys
 would meet in one bucket; where a key has more than ``BUCKET_ROWS`` of them,
@@ -101,11 +101,19 @@ def write_shards(sharded: DataFrame, path: str) -> None:
     sharded.repartitionByRange("shard", "slot").sortWithinPartitions("shard", "slot").write.mode("overwrite").partitionBy("shard").parquet(path)
 
 
-def shard_digests(docs: DataFrame, shards: int) -> DataFrame:
-    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document."""
+def sharded_documents(docs: DataFrame, shards: int) -> DataFrame:
+    """doc (the whole document, all its columns), shard and slot of every document."""
     body = F.coalesce(F.col("text"), F.lit(""))
-    digests = docs.select("doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"))
-    return shard(digests, shards, key=["doc_id", "size", "text_crc32"]).select("doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
+    record = F.struct(*(F.col(f"`{c}`") for c in docs.columns))
+    keyed = docs.select(record.alias("doc"), "doc_id", (F.octet_length(body) + 1).cast("long").alias("size"), F.crc32(body.cast("binary")).alias("text_crc32"))
+    return shard(keyed, shards, key=["doc_id", "size", "text_crc32"]).select("doc", "shard", "slot")
+
+
+def shard_digests(docs: DataFrame, shards: int) -> DataFrame:
+    """doc_id, size, text_crc32, law, shard, slot, grown_shard of every document, from the documents as they were dealt."""
+    body = F.coalesce(F.col("doc.text"), F.lit(""))
+    size, crc = (F.octet_length(body) + 1).cast("long"), F.crc32(body.cast("binary"))
+    return sharded_documents(docs, shards).select("doc.doc_id", size.alias("size"), crc.alias("text_crc32"), F.lit("rows").alias("law"), "shard", "slot", F.lit(None).cast("int").alias("grown_shard"))
 
 
 def op5_shard_shuffle(spark, sf_dir):
