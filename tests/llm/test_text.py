@@ -13,6 +13,7 @@ import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
+import corpus_pipeline
 from tidemark.llm import decontaminate, extraction, fingerprints, language, url_filter
 
 SF = "/root/testdata/sf0.01"
@@ -270,6 +271,21 @@ def test_texts_shorter_than_an_item(spark):
     assert {r.doc_id for r in decontaminate.clean(spark.createDataFrame(few, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")).collect()} == {d for d, _ in few} - {d for d, _ in want}
 
 
+def test_windows_beyond_the_radius(spark, tmp_path):
+    """Runs of two words shift a few shingles and half of all bits: such windows are counted exactly."""
+    items = [(k, "x " * a + "y " * b) for k, (a, b) in enumerate([(41, 49), (60, 50), (20, 30), (9, 4)])] + [(9, "p q r s t")]
+    docs = [(0, "x " * 49 + "y " * 41), (1, "c d " * 40 + "x " * 49 + "y " * 41 + "c d " * 40), (2, "X " * 50 + "y " * 60), (3, "x " * 30 + "y " * 20), (4, "x " * 200), (5, "p q r s t"), (6, "c d " * 60)]
+    index = decontaminate.Index(items)
+    assert np.bitwise_count(index.prints[0] ^ decontaminate.Index(docs[:1]).prints[0]) > decontaminate.RADIUS
+    frame, bench = spark.createDataFrame(docs, "doc_id bigint, text string"), spark.createDataFrame(items, "item_id bigint, text string")
+    want = brute_leaks(docs, items) | brute_short_leaks(docs, items)
+    assert (0, 0) in want and (1, 0) in want
+    assert {(r.doc_id, r.item_id) for r in decontaminate.leaks(frame, bench).collect()} == want
+    bench.write.parquet(str(tmp_path / "benchmark.parquet"))
+    left = corpus_pipeline.decontaminate_stage(spark, frame, str(tmp_path))
+    assert {r.doc_id for r in left.collect()} == {d for d, _ in docs} - {d for d, _ in want}
+
+
 def test_one_index_at_a_time(spark, monkeypatch):
     monkeypatch.setattr(decontaminate, "ITEMS_TOGETHER", 2)
     events, made, spread = [], decontaminate.Index.__init__, decontaminate.checkpointed
